@@ -75,3 +75,30 @@ def exact_median(df: DataFrame, col: str, name: str) -> DataFrame:
             ).alias(name)
         )
     )
+
+
+def next_value(df: DataFrame, group: str, order: list[str], value: str, name: str) -> DataFrame:
+    """Value of the following row of the same group, NULL on the group's last row.
+
+    Rows are range-partitioned by (group, order), so a group that holds a third
+    of all rows spreads over many tasks; a partition's last row looks up the
+    first row of the next partition.  Rows that tie on ``order`` may swap.
+    """
+    keys = [group, *order]
+    placed = cut(
+        df.repartitionByRange(*keys, value).withColumn("_part", F.spark_partition_id())
+    )
+    inside = Window.partitionBy("_part", group).orderBy(*order, value)
+    firsts = placed.groupBy("_part").agg(F.min(F.struct(*keys, value)).alias("_first"))
+    following = firsts.select(
+        "_part", F.lead("_first").over(Window.orderBy("_part")).alias("_next")
+    )
+    # one row per partition: bounded by the partition count, never by the data
+    crossing = F.when(F.col(f"_next.{group}") == F.col(group), F.col(f"_next.{value}"))
+    return (
+        placed.withColumn("_inside", F.lead(value).over(inside))
+        .withColumn("_last", F.lead(F.lit(1)).over(inside).isNull())
+        .join(F.broadcast(following), "_part")
+        .withColumn(name, F.when(F.col("_last"), crossing).otherwise(F.col("_inside")))
+        .drop("_part", "_inside", "_last", "_next")
+    )

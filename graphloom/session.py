@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +25,7 @@ def build_session(master: str, app_name: str = "graphloom", **conf: str) -> Spar
     settings = {
         **RUNTIME_CONF,
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
@@ -64,3 +66,8 @@ def cut(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path for a written table, in the same shared folder as the checkpoints."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
