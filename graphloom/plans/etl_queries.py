@@ -218,15 +218,13 @@ def id_mismatch_check(spark, sf):
     return ids.agg(F.count("*").alias("n"), F.count_if(F.col("paper_id") != F.col("file_id")).alias("mismatches"))
 
 
-@query("A07_scan_record_files", """SELECT c_custkey AS file_id, 'Paper: hep-th/' || c_custkey || chr(10) || 'Title: ' || c_name || chr(10) AS record FROM customer""")
+@query("A07_scan_record_files", "SELECT page_id AS file_id, html || chr(10) AS record FROM pages")
 def scan_record_files(spark, sf):
-    """One file per customer record, read back whole with its id from the path."""
-    records = table(spark, sf, "customer").select(
-        F.col("c_custkey").alias("paper"),
-        F.concat(F.lit("Paper: hep-th/"), F.col("c_custkey").cast("string"), F.lit("\nTitle: "), "c_name").alias("value"))
+    """One file per page, read back whole with its id from the path."""
+    records = table(spark, sf, "pages").select(F.col("page_id").alias("page"), F.col("html").alias("value"))
     path = shared_path(spark, "records")
-    records.repartition("paper").write.partitionBy("paper").text(path)
-    return src.scan_record_files(spark, path, r"paper=(\d+)/")
+    records.repartition("page").write.partitionBy("page").text(path)
+    return src.scan_record_files(spark, path, r"page=(\d+)/")
 
 
 _DATES = "dates AS (SELECT l_partkey AS paper_id, min(l_shipdate)::DATE AS day FROM lineitem GROUP BY ALL)"

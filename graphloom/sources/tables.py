@@ -74,7 +74,7 @@ def scan_edge_list(spark: SparkSession, path: str, comment: str = "#") -> DataFr
 
 def scan_record_files(spark: SparkSession, path: str, id_pattern: str = r"(\d+)\.[^./]*$") -> DataFrame:
     """One whole text per file; the id is read from the file's path."""
-    whole = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    whole = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     return whole.select(
         F.regexp_extract(F.col("_metadata.file_path"), id_pattern, 1).cast("bigint").alias("file_id"),
         F.col("value").alias("record"),
