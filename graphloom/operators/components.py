@@ -47,7 +47,8 @@ def _large_star(links: DataFrame) -> DataFrame:
     ends = both_ways(links)
     least = ends.groupBy("src").agg(F.least(F.col("src"), F.min("dst")).alias("m"))
     moved = ends.filter("dst > src").join(least, "src").select(F.col("m").alias("src"), "dst")
-    return moved.filter("src <> dst").distinct()
+    # repeats are folded by the small-star step that follows
+    return moved.filter("src <> dst")
 
 
 def _small_star(links: DataFrame) -> DataFrame:

@@ -84,16 +84,18 @@ def forest_fire(graph: Graph, starts: DataFrame, chance: float, seed: int) -> Da
     """Ids the fire reaches when every undirected link burns with the given chance."""
     live = undirected_pairs(graph.edges).filter(unit(seed, "src", "dst") < chance)
     ends = cut(both_ways(live))
-    seen = frontier = cut(starts.select("id").distinct())
+    layers = [cut(starts.select("id").distinct())]
     while True:
+        # in an undirected search only the last two layers can be met again
+        recent = reduce(DataFrame.unionByName, layers[-2:])
         found = (
-            ends.join(frontier.select(F.col("id").alias("src")), "src").select(F.col("dst").alias("id"))
-            .distinct().join(seen, "id", "left_anti")
+            ends.join(layers[-1].select(F.col("id").alias("src")), "src").select(F.col("dst").alias("id"))
+            .distinct().join(recent, "id", "left_anti")
         )
-        frontier = cut(found)
-        if frontier.isEmpty():
-            return seen
-        seen = cut(seen.unionByName(frontier))
+        layer = cut(found)
+        if layer.isEmpty():
+            return reduce(DataFrame.unionByName, layers)
+        layers.append(layer)
 
 
 def diffusion(graph: Graph, starts: DataFrame, rounds: int, seed: int) -> DataFrame:
