@@ -18,7 +18,6 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-
 def build_session(master: str, app_name: str = "graphloom", **conf: str) -> SparkSession:
     """Session for local runs and tests; a cluster brings its own."""
     builder = SparkSession.builder.master(master).appName(app_name)
@@ -59,13 +58,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably and drop its lineage.
+    """Materialise ``df`` as a table in the shared folder and drop its lineage.
 
-    The checkpoint lives in shared storage, so a lost executor costs a re-read
-    and not a re-run; the partitioning of ``df`` is kept for later joins.
+    A lost executor then costs a re-read and not a re-run.  A written table is used
+    and not ``checkpoint()`` because a checkpoint keeps the size estimate of the plan
+    behind it; in a loop of joins those estimates multiply round after round until
+    planning stalls.  A table knows its true size, so later joins broadcast only what
+    is small, and its columns can be pruned.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = shared_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
