@@ -84,12 +84,10 @@ def next_value(df: DataFrame, group: str, order: list[str], value: str, name: st
     of all rows spreads over many tasks; a partition's last row looks up the
     first row of the next partition.  Rows that tie on ``order`` may swap.
     """
-    keys = [group, *order]
-    placed = cut(
-        df.repartitionByRange(*keys, value).withColumn("_part", F.spark_partition_id())
-    )
+    keys = list(dict.fromkeys([group, *order, value]))
+    placed = cut(df.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id()))
     inside = Window.partitionBy("_part", group).orderBy(*order, value)
-    firsts = placed.groupBy("_part").agg(F.min(F.struct(*keys, value)).alias("_first"))
+    firsts = placed.groupBy("_part").agg(F.min(F.struct(*keys)).alias("_first"))
     following = firsts.select(
         "_part", F.lead("_first").over(Window.orderBy("_part")).alias("_next")
     )
