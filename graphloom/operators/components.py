@@ -106,6 +106,7 @@ def strongly_connected_components(graph: Graph, hops: int = 3) -> DataFrame:
     """
     done: list[DataFrame] = []
     open_ids = cut(graph.vertices.select("id").distinct())
+    remaining = open_ids.count()
     edges = cut(graph.edges.select("src", "dst").filter("src <> dst").distinct())
     while True:
         # trim ends of the open part until nothing falls off
@@ -114,13 +115,13 @@ def strongly_connected_components(graph: Graph, hops: int = 3) -> DataFrame:
                 edges.select(F.col("dst").alias("id")).distinct(), "id", "left_semi"
             )
             core = cut(core)
-            fallen = cut(open_ids.join(core, "id", "left_anti"))
-            if fallen.isEmpty():
+            size = core.count()
+            if size == remaining:
                 break
-            done.append(fallen.select("id", F.col("id").alias("scc")))
-            open_ids = core
+            done.append(open_ids.join(core, "id", "left_anti").select("id", F.col("id").alias("scc")))
+            open_ids, remaining = core, size
             edges = cut(_inside(edges, core))
-        if open_ids.isEmpty():
+        if remaining == 0:
             break
         labels, last = open_ids.select("id", F.col("id").alias("color")), None
         while True:
@@ -144,6 +145,7 @@ def strongly_connected_components(graph: Graph, hops: int = 3) -> DataFrame:
             count = size
         done.append(reached.select("id", F.col("color").alias("scc")))
         open_ids = cut(open_ids.join(reached, "id", "left_anti"))
+        remaining = open_ids.count()
         edges = cut(_inside(edges, open_ids))
     out = done[0] if done else open_ids.select("id", F.col("id").alias("scc"))
     for piece in done[1:]:
