@@ -197,7 +197,7 @@ def star_counts(
 
 
 def ranked_edges(graph: Graph, edge_label: str | None, vertex_label: str | None) -> DataFrame:
-    """Edges with each end's rank (degree, id) and, if asked, the labels.
+    """Edges with each end's degree and, if asked, the labels; (degree, id) is an end's rank.
 
     Parallel edges with the same label are folded into a multiplicity ``m``.
     """
@@ -210,7 +210,7 @@ def ranked_edges(graph: Graph, edge_label: str | None, vertex_label: str | None)
     for end, short in (("src", "s"), ("dst", "d")):
         side = facts.select(
             F.col("id").alias(end),
-            F.struct("degree", "id").alias(f"{short}_rank"),
+            F.col("degree").alias(f"{short}_degree"),
             *([F.col("label").alias(f"{short}_label")] if vertex_label else []),
         )
         folded = folded.join(side, end)
@@ -245,16 +245,17 @@ def triangle_matches(
         return edges.select(
             F.col("src").alias(source),
             F.col("dst").alias(target),
-            F.col("s_rank").alias(f"rank_{source}"),
-            F.col("d_rank").alias(f"rank_{target}"),
+            F.col("s_degree").alias(f"degree_{source}"),
+            F.col("d_degree").alias(f"degree_{target}"),
             *labels,
             F.col("e").alias(f"label_{edge}"),
             F.col("m").alias(f"m_{edge}"),
         )
 
     def lower(a: str, b: str) -> Column:
-        left, right = F.col(f"rank_{a}"), F.col(f"rank_{b}")
-        return left <= right if names.index(a) < names.index(b) else left < right
+        tie = F.col(a) <= F.col(b) if names.index(a) < names.index(b) else F.col(a) < F.col(b)
+        left, right = F.col(f"degree_{a}"), F.col(f"degree_{b}")
+        return (left < right) | ((left == right) & tie)
 
     out = [*names, *([f"label_{n}" for n in names] if vertex_label else []), *[f"label_{e}" for _, e, _ in steps]]
     branches = []
@@ -262,7 +263,7 @@ def triangle_matches(
         first, second = [s for s in steps if root in (s[0], s[2])]
         third = next(s for s in steps if root not in (s[0], s[2]))
         near, far = [n for n in (first[0], first[2]) if n != root][0], [n for n in (second[0], second[2]) if n != root][0]
-        shared_cols = [f"rank_{root}", *([f"label_{root}"] if vertex_label else [])]
+        shared_cols = [f"degree_{root}", *([f"label_{root}"] if vertex_label else [])]
         wedge = (
             bind(first).filter(lower(root, near))
             .join(bind(second).filter(lower(root, far)).drop(*shared_cols), root)
@@ -302,17 +303,17 @@ def four_cycle_counts(graph: Graph, edge_label: str | None = "relationship", ver
         near = edges.select(
             F.col("src" if leaving else "dst").alias("top"),
             F.col("dst" if leaving else "src").alias("mid"),
-            F.col("s_rank" if leaving else "d_rank").alias("top_rank"),
-            F.col("d_rank" if leaving else "s_rank").alias("mid_rank"),
+            F.col("s_degree" if leaving else "d_degree").alias("top_degree"),
+            F.col("d_degree" if leaving else "s_degree").alias("mid_degree"),
             F.col("s_label" if leaving else "d_label").alias("top_label"),
             F.col("d_label" if leaving else "s_label").alias("mid_label"),
             F.col("e").alias("near_e"),
             F.col("m").alias("near_m"),
-        ).filter("mid_rank <= top_rank")
+        ).filter("mid_degree < top_degree OR (mid_degree = top_degree AND mid <= top)")
         far = edges.select(
             F.col("src" if leaving else "dst").alias("mid"),
             F.col("dst" if leaving else "src").alias("opp"),
-            F.col("d_rank" if leaving else "s_rank").alias("opp_rank"),
+            F.col("d_degree" if leaving else "s_degree").alias("opp_degree"),
             F.col("d_label" if leaving else "s_label").alias("opp_label"),
             F.col("e").alias("far_e"),
             F.col("m").alias("far_m"),
@@ -320,7 +321,7 @@ def four_cycle_counts(graph: Graph, edge_label: str | None = "relationship", ver
         side = "out" if leaving else "in"
         return (
             near.join(far, "mid")
-            .filter("opp_rank <= top_rank")
+            .filter("opp_degree < top_degree OR (opp_degree = top_degree AND opp <= top)")
             .groupBy(
                 "top", "opp", "top_label", "opp_label",
                 (F.col("mid") == F.col("top")).alias(f"{side}_mid_is_top"),
