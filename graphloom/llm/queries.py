@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from graphloom.llm import exact_dedup, sharding
+from pyspark.sql import functions as F
+
+from graphloom.llm import decontaminate, exact_dedup, licenses, sharding
 from graphloom.llm.common import table
 
 QUERIES = {}
@@ -34,3 +36,15 @@ def op1(spark, sf_dir):
 @query("op10_sharding")
 def op10(spark, sf_dir):
     return sharding.shard_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op6_license_scan")
+def op6(spark, sf_dir):
+    scanned = licenses.license_scan(table(spark, sf_dir, "documents"))
+    return scanned.drop("spans").withColumnRenamed("id", "doc_id")
+
+
+@query("op8_decontaminate")
+def op8(spark, sf_dir):
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "matched", "overlap")
