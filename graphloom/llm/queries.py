@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from graphloom.llm import decontaminate, exact_dedup, licenses, sharding
+from graphloom.llm import decontaminate, exact_dedup, langid, licenses, sharding
 from graphloom.llm.common import table
 
 QUERIES = {}
@@ -48,3 +48,9 @@ def op6(spark, sf_dir):
 def op8(spark, sf_dir):
     found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "matched", "overlap")
+
+
+@query("op7_language_id")
+def op7(spark, sf_dir):
+    found = langid.identify(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), langid.held_out("id").alias("held_out"), "lang_pred", "score")
