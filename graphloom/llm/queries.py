@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from graphloom.llm import decontaminate, exact_dedup, langid, licenses, sharding
+from graphloom.llm import decontaminate, exact_dedup, langid, licenses, sentencepiece_fst, sharding
 from graphloom.llm.common import table
 
 QUERIES = {}
@@ -54,3 +54,8 @@ def op8(spark, sf_dir):
 def op7(spark, sf_dir):
     found = langid.identify(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), langid.held_out("id").alias("held_out"), "lang_pred", "score")
+
+
+@query("op2_sentencepiece")
+def op2(spark, sf_dir):
+    return sentencepiece_fst.round_trip(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
