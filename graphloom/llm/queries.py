@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from graphloom.llm import decontaminate, exact_dedup, langid, licenses, sentencepiece_fst, sharding
+from graphloom.llm import decontaminate, exact_dedup, langid, licenses, ngram_join, sentencepiece_fst, sharding, substring_dedup
 from graphloom.llm.common import table
 
 QUERIES = {}
@@ -59,3 +59,28 @@ def op7(spark, sf_dir):
 @query("op2_sentencepiece")
 def op2(spark, sf_dir):
     return sentencepiece_fst.round_trip(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("op5_substring_dedup", r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    windows AS (
+        SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS c
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d)),
+    later AS (
+        SELECT doc_id, s FROM (
+            SELECT doc_id, s, row_number() OVER (PARTITION BY c ORDER BY doc_id, s) AS r FROM windows) WHERE r > 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM later),
+    words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+    kept AS (
+        SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS k, count(*) AS n
+        FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+    FROM d LEFT JOIN kept USING (doc_id)""")
+def op5(spark, sf_dir):
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text").withColumnRenamed("id", "doc_id")
+
+
+@query("op9_ngram_join")
+def op9(spark, sf_dir):
+    found = ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "n_links")
