@@ -151,7 +151,7 @@ def sketches(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 def _cells(rows: DataFrame, group: str, count: str) -> DataFrame:
     """Deal the members of each group to cells of one block or two: a group of g rows makes (g / BLOCK)^2 / 2 cells.
 
-    Adds ``cell`` and ``side`` (0 and 1, or 2 where a cell is one block by itself).
+    Adds ``cell``, ``whole`` (the group) and ``side`` (0 and 1, or 2 where a cell is one block by itself).
     """
     blocks = F.ceil(F.col(count) / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("set_id", F.lit(1)), blocks).cast("int")
@@ -159,15 +159,15 @@ def _cells(rows: DataFrame, group: str, count: str) -> DataFrame:
     cell = F.xxhash64(group, F.least("_mine", "_other"), F.greatest("_mine", "_other"))
     side = F.when(F.col("_mine") == F.col("_other"), 2).when(F.col("_mine") < F.col("_other"), 0).otherwise(1)
     # block pairs meet once for each member of either block; a block alone is a cell of its own
-    return dealt.withColumn("cell", cell).withColumn("side", side.cast("int")).drop("_mine", "_other")
+    return dealt.withColumn("cell", cell).withColumn("side", side.cast("int")).withColumn("whole", F.col(group)).drop("_mine", "_other")
 
 
 def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
-    """Rows of one cell after the other, from rows sorted by cell."""
+    """Rows of one cell after the other, from rows sorted by cell and group."""
     held: list[dict] = []
     for batch in row_batches(batches):
         for row in batch.to_pylist():
-            if held and held[-1]["cell"] != row["cell"]:
+            if held and (held[-1]["cell"], held[-1]["whole"]) != (row["cell"], row["whole"]):
                 yield held
                 held = []
             held.append(row)
@@ -252,7 +252,7 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: s
     shared = cut(banded.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1"))
     met = banded.join(shared, "band")
     dealt = _cells(met, "band", "members").join(sets.select("set_id", "n", "sketch"), "set_id")
-    proposed = dealt.select("cell", "side", "set_id", "n", "sketch").repartition("cell").sortWithinPartitions("cell") \
+    proposed = dealt.select("cell", "whole", "side", "set_id", "n", "sketch").repartition("cell").sortWithinPartitions("cell", "whole") \
         .mapInArrow(_propose, "src binary, dst binary").distinct()
     near = _components(proposed)
 
@@ -265,8 +265,8 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: s
     # rows that repeat id and text give the same text twice
     told = texts.join(members.select("set_id", "component", "members", "copies", "id", "text_key"), same).dropDuplicates(["set_id"])
     checked = cut(
-        _cells(told, "component", "members").select("cell", "side", "set_id", "copies", "text")
-        .repartition("cell").sortWithinPartitions("cell").mapInArrow(_verify, "set_id binary, head binary, links long"))
+        _cells(told, "component", "members").select("cell", "whole", "side", "set_id", "copies", "text")
+        .repartition("cell").sortWithinPartitions("cell", "whole").mapInArrow(_verify, "set_id binary, head binary, links long"))
     classes = _components(checked.filter("set_id <> head").select(F.col("head").alias("src"), F.col("set_id").alias("dst")).distinct())
     links = checked.groupBy("set_id").agg(F.sum("links").alias("links"))
 
