@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from graphloom.llm import decontaminate, exact_dedup, langid, licenses, ngram_join, sentencepiece_fst, sharding, substring_dedup
+from graphloom.llm import (
+    decontaminate,
+    exact_dedup,
+    langid,
+    licenses,
+    ngram_join,
+    sentencepiece_fst,
+    sharding,
+    substring_dedup,
+    toxicity,
+)
 from graphloom.llm.common import table
 
 QUERIES = {}
@@ -84,3 +94,9 @@ def op5(spark, sf_dir):
 def op9(spark, sf_dir):
     found = ngram_join.similar_documents(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "class_id", "n_links")
+
+
+@query("op4_toxicity")
+def op4(spark, sf_dir):
+    found = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(F.col("id").alias("doc_id"), toxicity.held_out("id").alias("held_out"), "score", "predicted")
