@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from graphloom.llm import (
     decontaminate,
     exact_dedup,
+    html_extract,
     langid,
     licenses,
     ngram_join,
@@ -100,3 +101,8 @@ def op9(spark, sf_dir):
 def op4(spark, sf_dir):
     found = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select(F.col("id").alias("doc_id"), toxicity.held_out("id").alias("held_out"), "score", "predicted")
+
+
+@query("op3_html_extract")
+def op3(spark, sf_dir):
+    return html_extract.extract(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
