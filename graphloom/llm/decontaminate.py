@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import document_key, text_of
+from graphloom.llm.common import document_key, fresh, text_of
 from graphloom.session import cut
 
 #: positions that count; ten words each, two or four of which may differ
@@ -114,6 +114,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents that overlap no benchmark item, with all their columns."""
-    bad = contaminated(docs, benchmark, id_column, text_column).select("id", "text_key").distinct()
-    same = docs[id_column].eqNullSafe(bad["id"]) & (F.xxhash64(text_of(text_column)) == bad["text_key"])
+    id_name, key_name = fresh("id"), fresh("key")
+    bad = contaminated(docs, benchmark, id_column, text_column).select("id", "text_key").distinct().toDF(id_name, key_name)
+    same = F.col(id_column).eqNullSafe(F.col(id_name)) & (F.xxhash64(text_of(text_column)) == F.col(key_name))
     return docs.join(bad, same, "left_anti")

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from graphloom.llm.common import BLANKS, row_batches, shuffle_partitions, text_of
+from graphloom.llm.common import BLANKS, fresh, row_batches, shuffle_partitions, text_of
 
 FIRST_DIGIT, GROWTH = 16, 8
 #: a branch may hold this part of a mean task's rows before it is split on the cluster
@@ -55,7 +55,7 @@ def _resolve(schema: T.StructType):
 
             best = min(group, key=rank)
             digest = hashlib.sha256(rows[group[0]][4]).hexdigest()
-            out += [(rows[i][1], rows[best][1], len(group), i == best, digest) for i in group]
+            out += [(rows[i][1], rows[best][1], len(group), i == best, digest, rows[i][2]) for i in group]
         columns = zip(*out, strict=True)
         return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
@@ -79,13 +79,13 @@ def _resolve(schema: T.StructType):
 
 
 def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, keep_id, group_size, kept, text_sha256.
+    """One row per row of ``docs``: id, keep_id, group_size, kept, text_sha256, row.
 
     Texts are equal when identical after deleting blanks (space, \\t to \\r).  The row with the most code
     points, then the smallest id stays; null ids come last, and of rows that repeat an id one stays.  A null
     text is an empty one; all empty texts are one group.  Very long texts are only read further while they
     still agree with another.  Columns beside the two named ones play no part.  An empty table gives an empty
-    one.  Rows are told apart by their place in the scan, so ``docs`` is a table read from files.
+    one.  Rows are told apart by ``row``, their place in the scan, so ``docs`` is a table read from files.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("_t")).select(
@@ -123,7 +123,7 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
     schema = T.StructType([
         T.StructField("id", docs.schema[id_column].dataType), T.StructField("keep_id", docs.schema[id_column].dataType),
         T.StructField("group_size", T.LongType()), T.StructField("kept", T.BooleanType()),
-        T.StructField("text_sha256", T.StringType())])
+        T.StructField("text_sha256", T.StringType()), T.StructField("row", T.LongType())])
     answers = (
         rows.filter(~F.col("ended"))
         .select(F.xxhash64("branch", F.expr("substring(body, start + 1, width)")).alias("bucket"), "id", "row", "points", "body")
@@ -138,5 +138,12 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
         # one row per ended branch: fewer than n / most
         answers = answers.unionByName(hot.join(F.broadcast(best), "branch").select(
             "id", F.col("best.id").alias("keep_id"), "group_size", (F.col("row") == F.col("best.row")).alias("kept"),
-            F.sha2("body", 256).alias("text_sha256")))
+            F.sha2("body", 256).alias("text_sha256"), "row"))
     return answers
+
+
+def drop_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The row of every group of equal texts that stays, with all its columns."""
+    row = fresh("row")
+    kept = exact_duplicates(docs, id_column, text_column).filter("kept").select(F.col("row").alias(row))
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(kept, row, "left_semi").drop(row)

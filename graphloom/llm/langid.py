@@ -16,6 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from graphloom.llm import lattice
 from graphloom.llm.common import fresh, row_batches
@@ -163,37 +164,47 @@ class Scorer:
 _SCORERS: dict[str, Scorer] = {}
 
 
-def predict(docs: DataFrame, languages: list[str], model: np.ndarray, id_column: str = "doc_id", text_column: str = "text",
-            vocabulary: str = VOCABULARY) -> DataFrame:
-    """(id, lang_pred, score) for every row of ``docs``, from its whole text.
+def with_language(docs: DataFrame, languages: list[str], model: np.ndarray, text_column: str = "text",
+                  vocabulary: str = VOCABULARY, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with two columns more: predicted language and score; see ``predict``.
 
-    ``score`` is the posterior of the predicted language under equal priors.  A text that is null or has no
-    letter is ``und`` with score 0, as is every text when nothing was learned; ties go to the first language
-    by name.  Very long texts are split into words like others and scored to the end; repeated rows and null
-    ids come through; an empty table gives an empty one; only the named columns are read.
+    ``names`` are those of the new columns; they must not be columns of ``docs``.
     """
-    kind = docs.schema[id_column].dataType.simpleString()
-    sent, name = docs.sparkSession.sparkContext.broadcast(model), fresh("scorer")
+    sent, scorer = docs.sparkSession.sparkContext.broadcast(model), fresh("scorer")
+    text_at = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _SCORERS and languages:
+        if scorer not in _SCORERS and languages:
             _SCORERS.clear()
-            _SCORERS[name] = Scorer(sent.value, vocabulary)
+            _SCORERS[scorer] = Scorer(sent.value, vocabulary)
         for batch in row_batches(batches):
-            texts = batch.column(1).to_pylist()
-            names, scores = [NONE] * len(texts), [0.0] * len(texts)
+            texts = batch.column(text_at).to_pylist()
+            found, scores = [NONE] * len(texts), [0.0] * len(texts)
             if languages:
-                sums = _SCORERS[name].texts(texts)
+                sums = _SCORERS[scorer].texts(texts)
                 best = sums.argmax(axis=1)
                 share = 1.0 / np.exp(sums - sums.max(axis=1, keepdims=True)).sum(axis=1)
                 for i, text in enumerate(texts):
                     if text and _LETTERS.search(text):
-                        names[i], scores[i] = languages[best[i]], float(share[i])
-            yield pa.record_batch([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                                  names=["id", "lang_pred", "score"])
+                        found[i], scores[i] = languages[best[i]], float(share[i])
+            yield pa.record_batch([*batch.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())],
+                                  names=[*batch.schema.names, *names])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
+    return docs.mapInArrow(run, schema)
+
+
+def predict(docs: DataFrame, languages: list[str], model: np.ndarray, id_column: str = "doc_id", text_column: str = "text",
+            vocabulary: str = VOCABULARY) -> DataFrame:
+    """(id, lang_pred, score) for every row of ``docs``, from its whole text.
 
-    return docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text")).mapInArrow(
-        run, f"id {kind}, lang_pred string, score double")
+    ``score`` is the posterior of the predicted language under equal priors.  A text that is null or has no
+    letter is ``und`` with score 0, as is every text when nothing was learned; ties go to the first language
+    by name.  Very long texts are split into words like others and scored to the end; repeated rows and null
+    ids come through; an empty table gives an empty one; only the named columns are read.
+    """
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
+    return with_language(rows, languages, model, "text", vocabulary).drop("text")
 
 
 def held_out(id_column: str = "doc_id") -> Column:
@@ -201,9 +212,21 @@ def held_out(id_column: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
+def learn(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", language_column: str = "lang",
+          vocabulary: str = VOCABULARY) -> tuple[list[str], np.ndarray]:
+    """Fit on the labelled rows that are not held out."""
+    return fit(docs.filter(~held_out(id_column)), F.col(language_column), F.xxhash64(id_column), text_column, vocabulary)
+
+
 def identify(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", language_column: str = "lang",
              vocabulary: str = VOCABULARY) -> DataFrame:
     """Fit on the labelled rows that are not held out and predict all: (id, lang_pred, score)."""
-    learnable = docs.filter(~held_out(id_column))
-    languages, model = fit(learnable, F.col(language_column), F.xxhash64(id_column), text_column, vocabulary)
-    return predict(docs, languages, model, id_column, text_column, vocabulary)
+    return predict(docs, *learn(docs, id_column, text_column, language_column, vocabulary), id_column, text_column, vocabulary)
+
+
+def in_a_language(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", language_column: str = "lang",
+                  vocabulary: str = VOCABULARY) -> DataFrame:
+    """The rows whose text is in one of the learned languages, with all their columns."""
+    names = (fresh("lang"), fresh("score"))
+    found = with_language(docs, *learn(docs, id_column, text_column, language_column, vocabulary), text_column, vocabulary, names)
+    return found.filter(F.col(names[0]) != NONE).drop(*names)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.graph import Graph
-from graphloom.llm.common import document_key, row_batches, text_of
+from graphloom.llm.common import document_key, fresh, row_batches, text_of
 from graphloom.llm.wordhash import hashes, mixed, run_hashes
 from graphloom.operators.components import connected_components
 from graphloom.session import cut
@@ -234,11 +234,11 @@ def _components(links: DataFrame) -> DataFrame:
 
 
 def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, text_key, class_id, n_links.
+    """One row per row of ``docs``: id, text_key, class_id, n_links, kept.
 
     Two documents are linked when the Jaccard similarity of their sets of lower-cased word five-grams is 0.8 or
     more; ``n_links`` counts the other rows linked to this one, ``class_id`` is the smallest id (nulls last) of
-    the rows that hang together with it.  A text of one to four words is one gram; one without a word, null or
+    the rows that hang together with it, ``kept`` marks its row.  A text of one to four words is one gram; one without a word, null or
     empty is linked to nothing and is its own class.  Repeated rows are links of each other.  Very long texts
     take part with all their grams.  An empty table gives an empty one; other columns play no part.
     """
@@ -272,10 +272,21 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: s
 
     placed = sets.select("set_id", "copies", "first").join(classes, "set_id", "left").join(links, "set_id", "left") \
         .withColumn("component", F.coalesce("component", "set_id"))
-    least = placed.groupBy("component").agg(F.min(F.struct("first.none", "first.id")).alias("least"))
+    least = placed.groupBy("component").agg(F.min("first").alias("least"))
     # written, so that the join below can split the rows of a set that a third of all rows share
     answer = cut(placed.join(least, "component").select(
-        "set_id", F.col("least.id").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
+        "set_id", "least", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
+    alone = F.col("set_id").isNull()
+    first_of_class = F.col("id").eqNullSafe(F.col("least.id")) & (F.col("text_key") == F.col("least.text_key"))
     return rows.select("id", "text_key", "set_id").join(answer, "set_id", "left").select(
-        "id", "text_key", F.when(F.col("set_id").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        "id", "text_key", F.when(alone, F.col("id")).otherwise(F.col("least.id")).alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), (alone | first_of_class).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The first document of every class, with all its columns; rows that repeat id and text stay together."""
+    found = similar_documents(docs, id_column, text_column).filter("kept").select(F.col("id").alias("k_id"), F.col("text_key").alias("k_key"))
+    id_name, key_name = fresh("id"), fresh("key")
+    found = found.withColumnsRenamed({"k_id": id_name, "k_key": key_name})
+    same = F.col(id_column).eqNullSafe(F.col(id_name)) & (F.xxhash64(text_of(text_column)) == F.col(key_name))
+    return docs.join(found, same, "left_semi")

@@ -41,7 +41,7 @@ def query(name: str, sql: str | None = None):
            doc_id = first_value(doc_id) OVER w AS kept, sha256(body) AS text_sha256
     FROM d WINDOW w AS (PARTITION BY body ORDER BY points DESC, doc_id)""")
 def op1(spark, sf_dir):
-    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop("row").withColumnRenamed("id", "doc_id")
 
 
 @query("op10_sharding")
