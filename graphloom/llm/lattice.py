@@ -101,7 +101,9 @@ class Lattice:
         start = start + text
         end = start + length
         place = end - self.first[text] if len(start) else start
-        order = np.lexsort((length, place))
+        key = place * (vocabulary.longest + 1) + length
+        # short keys sort by radix
+        order = np.argsort(key.astype(np.uint16) if len(key) and key.max() < 1 << 16 else key, kind="stable")
         self.start, self.end, self.piece = start[order], end[order], np.concatenate(pieces)[order]
         self.length, self.place, self.text = length[order], place[order], text[order]
 

@@ -27,8 +27,8 @@ from graphloom.llm import lattice
 from graphloom.llm.common import row_batches, text_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: stretches of text whose ids a worker keeps; beyond that it starts anew
-CACHE = 300_000
+#: stretches of text whose ids a worker keeps, in two generations: when one is full, the one before it goes
+CACHE = 250_000
 #: bytes of text in one lattice
 LATTICE_BYTES = 250_000
 BLANK = "▁"
@@ -62,8 +62,7 @@ class Transducer:
                 a, b = vocab.ids.get(piece[:at]), vocab.ids.get(piece[at:])
                 if a is not None and b is not None:
                     pairs[a * vocab.size + b] = number
-        self.pair_keys = np.array(sorted(pairs), np.int64)
-        self.pair_ids = np.array([pairs[k] for k in self.pair_keys], np.int32)
+        self._tabulate(pairs)
         for piece, number in vocab.ids.items():
             self._compile_merges(piece, number, pairs)
         surfaces = [p if p is not None else b"" for p in vocab.pieces]
@@ -79,6 +78,7 @@ class Transducer:
         cuts = "".join(re.escape(c) for c in "\n\t\v\f" if c not in inside)
         self.stretches = re.compile(f"{BLANK}+[^{BLANK}{cuts}]*|[^{BLANK}{cuts}]+|[{cuts}]" if cuts else f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _compile_merges(self, piece: bytes, number: int, pairs: dict[int, int]) -> None:
         """Children of a piece: its last merge when it is built from its characters."""
@@ -97,6 +97,36 @@ class Transducer:
             parts[k:k + 2] = [made]
         self.whole[number] = True
 
+    def _tabulate(self, pairs: dict[int, int]) -> None:
+        """Open addressing over the pairs that merge: slot of a pair, or one of the few after it, holds its piece."""
+        self.slots = 1 << (2 * len(pairs) - 1).bit_length()
+        self.slot_keys, self.slot_ids = np.full(self.slots, -1, np.int64), np.full(self.slots, -1, np.int32)
+        self.probes = 1
+        for key, number in pairs.items():
+            slot, tries = int(self._slot(np.array([key]))[0]), 1
+            while self.slot_keys[slot] >= 0:
+                slot, tries = (slot + 1) % self.slots, tries + 1
+            self.slot_keys[slot], self.slot_ids[slot] = key, number
+            self.probes = max(self.probes, tries)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        mixed = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(40)).astype(np.int64) & (self.slots - 1)
+
+    def merged(self, key: np.ndarray) -> np.ndarray:
+        """The piece that each pair merges to, -1 where it does not."""
+        found = np.full(len(key), -1, np.int32)
+        slot, ask = self._slot(key), np.arange(len(key))
+        for _ in range(self.probes):
+            held = self.slot_keys[slot]
+            hit = held == key[ask]
+            found[ask[hit]] = self.slot_ids[slot[hit]]
+            on = ~hit & (held >= 0)
+            if not on.any():
+                break
+            ask, slot = ask[on], (slot[on] + 1) & (self.slots - 1)
+        return found
+
     def accepts(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
         """Whether the merges that build each pair of pieces leave their border alone.
 
@@ -109,10 +139,9 @@ class Transducer:
         live = np.flatnonzero(good)
         while len(live):
             a, b = x[live], y[live]
-            key = a * self.vocab.size + b
-            at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-            joins = self.pair_keys[at] == key
-            rank = np.where(joins, self.birth[self.pair_ids[at]], _NEVER)
+            made = self.merged(a * self.vocab.size + b)
+            joins = made >= 0
+            rank = np.where(joins, self.birth[made], _NEVER)
             # of equal ranks the leftmost merge comes first: x's own before the border, the border before y's
             bad = joins & (rank < until_x[live]) & (rank <= until_y[live])
             good[live[bad]] = False
@@ -164,8 +193,11 @@ class Transducer:
         split = [self.stretches.findall(normalise(t)) for t in texts]
         new = set().union(*split).difference(self.known)
         if len(self.known) + len(new) > CACHE:
-            self.known.clear()
+            self.older, self.known = self.known, {}
             new = set().union(*split)
+        again = self.older.keys() & new
+        self.known.update((s, self.older[s]) for s in again)
+        new -= again
         low, pending = 0, sorted(new, key=len)
         while low < len(pending):
             high, size = low, 0

@@ -14,18 +14,19 @@ does not depend on that list.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - reached as pa.compute
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import document_key, row_batches, shuffle_partitions, text_of
+from graphloom.llm.common import row_batches, shuffle_partitions, text_of
 from graphloom.llm.wordhash import hashes, run_hashes
 
-WINDOW, RUN = 20, 4
+WINDOW, RUN = 20, 3
 #: packed strings of a bucket, in bytes of text; about three times the text is packed
 BUCKET_BYTES = 64 << 20
 #: documents looked at for common runs, and the part of them that a common run is in
@@ -65,7 +66,7 @@ def _key(value) -> tuple:
 def _pack(buckets: int, common: np.ndarray):
     """Rows (id, text_key, text) -> rows for buckets; see the schema in ``repeats``."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in row_batches(batches, rows=4000):
+        for batch in row_batches(batches, rows=1000, size=4 << 20):
             yield pack_one(batch)
 
     def pack_one(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -91,75 +92,84 @@ def _pack(buckets: int, common: np.ndarray):
                 later.append(i)
         early, later = np.array(early, np.int64), np.array(later, np.int64)
         strings = list(met)
-        out: list[tuple] = []
+        # one row per bucket with its strings, and one per document with what is known to be removed
         bucket = (least[early] % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []:
-            chosen = early[part]
-            blob = zlib.compress(b"\n".join(strings[p] for p in part.tolist()), 1)
-            out.append((int(bucket[part[0]]), blob, least[chosen].view(np.int64), owner[chosen], start[chosen], n[chosen]))
-        # what is known to be removed goes by its document
-        for part in np.split(later, np.flatnonzero(np.diff(owner[later])) + 1) if len(later) else []:
-            goes = keys[owner[part[0]]][1] % buckets
-            out.append((goes, None, np.zeros(0, np.int64), owner[part], start[part], n[part]))
-        return _table(out, keys, batch.schema.field(0).type)
+        parts = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []
+        squeeze = zstandard.ZstdCompressor(level=6)
+        blobs = [squeeze.compress(b"\n".join([strings[p] for p in part.tolist()])) for part in parts]
+        known = np.split(later, np.flatnonzero(np.diff(owner[later])) + 1) if len(later) else []
+        goes = [int(bucket[part[0]]) for part in parts] + [keys[owner[part[0]]][1] % buckets for part in known]
+        members = np.concatenate([early[order], later])
+        ends = np.concatenate(([0], np.cumsum([len(p) for p in [*parts, *known]]))).astype(np.int32)
+        own = owner[members]
+
+        def lists(values: pa.Array) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array(ends), values)
+
+        # 32 bits of the minimiser are enough to sort by: windows are compared whole
+        short = (least[members] >> np.uint64(16)).astype(np.uint32).view(np.int32)
+        spans = [np.zeros(0, np.int32)] * len(parts) + [n[p].astype(np.int32) for p in known]
+
+        return pa.record_batch([
+            pa.array(goes, pa.int32()), pa.array([*blobs, *[None] * len(known)], pa.binary()),
+            lists(pa.array(short)),
+            lists(pa.array([k[0] for k in keys], batch.schema.field(0).type).take(pa.array(own))),
+            lists(pa.array(np.array([k[1] for k in keys], np.int32)[own] if keys else np.zeros(0, np.int32))),
+            lists(pa.array(start[members].astype(np.int32))), pa.array(spans, pa.list_(pa.int32()))],
+            names=["bucket", "blob", "minimisers", "ids", "text_keys", "starts", "windows"])
 
     return pack
 
 
-def _table(rows: list[tuple], keys: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
-    def lists(column: int, kind: pa.DataType, value=lambda x: x) -> pa.Array:
-        return pa.array([[value(v) for v in r[column].tolist()] for r in rows], pa.list_(kind))
-
-    return pa.record_batch([
-        pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), lists(2, pa.int64()),
-        lists(3, kind, lambda o: keys[o][0]), lists(3, pa.int64(), lambda o: keys[o][1]),
-        lists(4, pa.int32()), lists(5, pa.int32())],
-        names=["bucket", "blob", "minimisers", "ids", "text_keys", "starts", "windows"])
-
-
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All rows of some buckets -> stretches of words to remove: (id, text_key, first, stop)."""
-    blobs, least, entries = [], [], []  # blobs stay packed; an entry is (blob, line, id, text_key, start)
+    blobs: list[bytes] = []  # strings stay packed until one of them can have an equal
+    columns: list[list] = [[], [], [], []]
+    places: list[np.ndarray] = []
     kind = None
     for batch in batches:
         kind = batch.schema.field("ids").type.value_type
-        gone: list[tuple] = []
-        for row in batch.drop_columns(["bucket"]).to_pylist():
-            found = list(zip(row["ids"], row["text_keys"], row["starts"], row["windows"], strict=True))
-            if row["blob"] is None:
-                gone += [(i, k, s, s + n + WINDOW - 1) for i, k, s, n in found]
-            else:
-                entries += [(len(blobs), line, i, k, s) for line, (i, k, s, _) in enumerate(found)]
-                least.append(np.array(row["minimisers"], np.int64))
-                blobs.append(row["blob"])
-        yield _stretches(gone, kind)
+        whole = batch.column("blob").is_valid()
+        done, rest = batch.filter(pa.compute.invert(whole)), batch.filter(whole)
+        if done.num_rows:
+            first = done.column("starts").flatten()
+            stop = pa.compute.add(pa.compute.add(first, done.column("windows").flatten()), pa.scalar(WINDOW - 1, pa.int32()))
+            yield pa.record_batch([done.column("ids").flatten(), done.column("text_keys").flatten(), first, stop], names=["id", "text_key", "first", "stop"])
+        for row, size in enumerate(pa.compute.list_value_length(rest.column("starts")).to_pylist()):
+            places.append(np.stack([np.full(size, len(blobs), np.int32), np.arange(size, dtype=np.int32)], axis=1))
+            blobs.append(rest.column("blob")[row].as_py())
+        for held, name in zip(columns, ("minimisers", "ids", "text_keys", "starts"), strict=True):
+            held.append(rest.column(name).flatten())
     if not blobs:
         return
-    least_all = np.concatenate(least)
-    order = np.argsort(least_all, kind="stable")
-    sorted_least = least_all[order]
-    same = np.diff(sorted_least) == 0
-    twice = np.concatenate((same, [False])) | np.concatenate(([False], same))
-    chosen = order[twice]
-    groups = np.split(chosen, np.flatnonzero(np.diff(least_all[chosen])) + 1) if len(chosen) else []
-    # unpack only the lines that can have an equal
-    lines: dict[int, bytes] = {}
-    wanted: dict[int, list[int]] = {}
-    for e in chosen.tolist():
-        wanted.setdefault(entries[e][0], []).append(e)
-    for b, members in wanted.items():
-        text = zlib.decompress(blobs[b]).split(b"\n")
-        for e in members:
-            lines[e] = text[entries[e][1]]
+    least = np.concatenate([c.to_numpy(zero_copy_only=False) for c in columns[0]])
+    place = np.concatenate(places)
+    order = np.argsort(least, kind="stable")
+    same = np.diff(least[order]) == 0
+    chosen = order[np.concatenate((same, [False])) | np.concatenate(([False], same))]
+    if not len(chosen):
+        return
+    groups = np.split(np.arange(len(chosen)), np.flatnonzero(np.diff(least[chosen])) + 1)
+    wanted = pa.array(chosen)
+    ids = pa.chunked_array(columns[1], kind).take(wanted).to_pylist()
+    text_keys = pa.chunked_array(columns[2]).take(wanted).to_pylist()
+    starts = pa.chunked_array(columns[3]).take(wanted).to_pylist()
+    columns.clear()
+    lines: list[bytes] = [b""] * len(chosen)
+    unpack = zstandard.ZstdDecompressor()
+    by_blob = np.argsort(place[chosen, 0], kind="stable")
+    for part in np.split(by_blob, np.flatnonzero(np.diff(place[chosen[by_blob], 0])) + 1):
+        blob, at = place[chosen[part[0]], 0], place[chosen[part], 1].tolist()
+        text = unpack.decompress(blobs[blob]).split(b"\n")
+        for e, line in zip(part.tolist(), at, strict=True):
+            lines[e] = text[line]
     blobs.clear()
-    gone = []
+    gone: list[tuple] = []
     for group in groups:
-        members = sorted(group.tolist(), key=lambda e: (_key(entries[e][2]), *entries[e][3:]))
         seen: dict[bytes, tuple] = {}
-        for e in members:
-            _, _, doc, text_key, start = entries[e]
-            line = lines[e]
+        for e in sorted(group.tolist(), key=lambda e: (_key(ids[e]), text_keys[e], starts[e])):
+            doc, text_key, start, line = ids[e], text_keys[e], starts[e], lines[e]
             cuts = [0, *[at + 1 for at in _blanks(line)], len(line) + 1]
             run = None
             for j in range(len(cuts) - WINDOW):
@@ -186,7 +196,7 @@ def _blanks(line: bytes) -> list[int]:
 
 def _stretches(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-    return pa.record_batch([pa.array(columns[0], kind), *[pa.array(c, t) for c, t in zip(columns[1:], (pa.int64(), pa.int32(), pa.int32()), strict=True)]],
+    return pa.record_batch([pa.array(columns[0], kind), *[pa.array(c, t) for c, t in zip(columns[1:], (pa.int32(), pa.int32(), pa.int32()), strict=True)]],
                            names=["id", "text_key", "first", "stop"])
 
 
@@ -206,6 +216,12 @@ def common_runs(rows: DataFrame, total: int) -> np.ndarray:
     return np.sort(often.select("run").toPandas()["run"].to_numpy(np.int64).astype(np.uint64))
 
 
+def _rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(id, text_key, text): the key tells texts apart under one id, in few bytes as it goes with every string."""
+    text = text_of(text_column)
+    return docs.select(F.col(id_column).alias("id"), F.hash(text).alias("text_key"), F.encode(text, "UTF-8").alias("text"))
+
+
 def repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, text_key, stretches): words covered by a window that starts earlier elsewhere, documents without any left out.
 
@@ -213,13 +229,13 @@ def repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     ``stretches`` are pairs (first, stop) of word numbers from 0 and may overlap.
     """
     kind = docs.schema[id_column].dataType.simpleString()
-    rows = docs.select(*document_key(id_column, text_column), F.encode(text_of(text_column), "UTF-8").alias("text"))
+    rows = _rows(docs, id_column, text_column)
     sizes = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length(F.col(text_column))).alias("bytes")).first()
     buckets = max(shuffle_partitions(docs.sparkSession), -(-3 * (sizes["bytes"] or 0) // BUCKET_BYTES))
     packed = rows.mapInArrow(
         _pack(buckets, common_runs(rows, sizes["n"])),
-        f"bucket int, blob binary, minimisers array<long>, ids array<{kind}>, text_keys array<long>, starts array<int>, windows array<int>")
-    found = packed.repartition(buckets, "bucket").mapInArrow(_compare, f"id {kind}, text_key long, first int, stop int")
+        f"bucket int, blob binary, minimisers array<int>, ids array<{kind}>, text_keys array<int>, starts array<int>, windows array<int>")
+    found = packed.repartition(buckets, "bucket").mapInArrow(_compare, f"id {kind}, text_key int, first int, stop int")
     return found.groupBy("id", "text_key").agg(F.collect_list(F.struct("first", "stop")).alias("stretches"))
 
 
@@ -252,7 +268,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """
     kind = docs.schema[id_column].dataType.simpleString()
     found = repeats(docs, id_column, text_column).withColumnsRenamed({"id": "r_id", "text_key": "r_key"})
-    rows = docs.select(*document_key(id_column, text_column), F.encode(text_of(text_column), "UTF-8").alias("text"))
+    rows = _rows(docs, id_column, text_column)
     same = F.col("id").eqNullSafe(F.col("r_id")) & (F.col("text_key") == F.col("r_key"))
     return rows.join(found, same, "left").select("id", "text", "stretches").mapInArrow(
         _keep, f"id {kind}, n_words bigint, n_removed bigint, kept_text string, kept_sha256 string")
