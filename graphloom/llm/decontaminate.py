@@ -7,6 +7,8 @@ diagonal (document position minus item position), along which the overlap is the
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,18 +38,19 @@ def _seed(number: int, offsets: list[int]) -> Column:
     return F.xxhash64(F.lit(number), *[F.expr(f"words[place + {o}]") for o in offsets])
 
 
-def _seeds(rows: DataFrame, lengths: list[int]) -> DataFrame:
+def _seeds(rows: DataFrame, lengths: list[int]) -> list[DataFrame]:
     """Rows with ``words`` -> the same with ``place`` and ``seed``, one for each position and mask.
 
-    ``lengths``: contiguous seeds for items shorter than the masks.
+    ``lengths``: contiguous seeds for items shorter than the masks, a table for each.  The tables are joined one
+    by one: a join right behind the explode never writes down the words beside every seed.
     """
     masks = [[i for i, kept in enumerate(mask) if kept == "1"] for mask in MASKS]
-    kept = [c for c in rows.columns]
+    kept = rows.columns
     long = rows.filter(F.size("words") >= SPAN).select(*kept, F.explode(F.expr(f"sequence(0, size(words) - {SPAN})")).alias("place"))
-    found = long.select(*kept, "place", F.explode(F.array(*[_seed(n, m) for n, m in enumerate(masks)])).alias("seed"))
+    found = [long.select(*kept, "place", F.explode(F.array(*[_seed(n, m) for n, m in enumerate(masks)])).alias("seed"))]
     for n in lengths:
         short = rows.filter(F.size("words") >= n).select(*kept, F.explode(F.expr(f"sequence(0, size(words) - {n})")).alias("place"))
-        found = found.unionByName(short.select(*kept, "place", _seed(100 + n, list(range(n))).alias("seed")))
+        found.append(short.select(*kept, "place", _seed(100 + n, list(range(n))).alias("seed")))
     return found
 
 
@@ -71,7 +74,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
     """(id, text_key, item, matched, overlap): documents and the benchmark items they overlap, best diagonal each.
 
     An overlap is a stretch along one diagonal in which at least four of five words agree; it counts from
-    13 agreeing words on, for a shorter item from four fifths of its words on.  A null or empty text overlaps
+    13 agreeing words on, for a shorter item from four fifths of its words on, and where four fifths of a whole
+    item agree.  A null or empty text overlaps
     nothing; items under five words are never reported.  Rows that repeat id and text are one document
     (``text_key`` is the text's hash); null ids are an id like others.  Repeated items are reported alike.
     Empty tables give an empty result.  Only the named columns are read.
@@ -79,7 +83,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
     items = benchmark.select(F.col(item_column).alias("item"), words(item_text).alias("words"))
     items = items.withColumn("n", F.size("words")).filter(F.col("n") >= SHORTEST_ITEM)
     lengths = [r["n"] for r in items.filter(F.col("n") < SPAN).select("n").distinct().orderBy("n").collect()]
-    seeds = cut(_seeds(items, lengths).filter((F.col("n") >= SPAN) | (F.col("n") == F.size("words")))
+    seeds = cut(reduce(DataFrame.unionByName, _seeds(items, lengths))
                 .select("item", "seed", F.col("place").alias("item_place"), F.col("words").alias("item_words")))
 
     rows = docs.select(*document_key(id_column, text_column), words(text_column).alias("words"))
@@ -92,12 +96,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
         F.slice("words", F.col("diagonal") + first + 1, stop - first).alias("here"),
         F.slice("item_words", first + 1, stop - first).alias("there"), F.size("item_words").alias("n")]
     if seeds.count() <= BROADCAST_SEEDS:
-        hits = _seeds(rows, lengths).join(F.broadcast(seeds), "seed").select("id", "text_key", "item", diagonal, "words", "item_words")
+        hits = [part.join(F.broadcast(seeds), "seed").select("id", "text_key", "item", diagonal, "words", "item_words").select(*key, *along)
+                for part in _seeds(rows, lengths)]
         # hits on one diagonal are neighbours in one task and fold before the shuffle
-        near = hits.select(*key, *along).groupBy(*key).agg(*[F.first(c).alias(c) for c in ("here", "there", "n")])
+        near = reduce(DataFrame.unionByName, hits).groupBy(*key).agg(*[F.first(c).alias(c) for c in ("here", "there", "n")])
     else:
         narrow = seeds.drop("item_words")
-        hits = _seeds(rows, lengths).drop("words").join(narrow, "seed").select("id", "text_key", "item", diagonal).distinct()
+        hits = reduce(DataFrame.unionByName, [
+            part.drop("words").join(narrow, "seed").select("id", "text_key", "item", diagonal) for part in _seeds(rows, lengths)]).distinct()
         same = F.col("h.id").eqNullSafe(F.col("r.id")) & (F.col("h.text_key") == F.col("r.text_key"))
         near = (
             hits.alias("h").join(rows.dropDuplicates(["id", "text_key"]).alias("r"), same)
@@ -106,9 +112,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
     scored = (
         near.withColumn("equal", F.zip_with("here", "there", lambda a, b: a == b))
         .withColumn("s", _best_segment())
-        .filter(F.col("s.matched") >= F.least(F.lit(LEAST_WORDS), F.ceil(F.col("n") * LEAST_PART)))
+        .withColumn("same", F.size(F.filter("equal", lambda e: e)))
     )
-    best = F.max(F.struct("s.matched", "s.overlap")).alias("best")
+    whole = F.ceil(F.col("n") * LEAST_PART)
+    scored = scored.select(
+        "id", "text_key", "item",
+        # an item that agrees as a whole counts as a whole, wherever its differing words stand
+        F.when(F.col("same") >= whole, F.struct(F.col("same").alias("matched"), F.size("equal").alias("overlap")))
+        .when(F.col("s.matched") >= F.least(F.lit(LEAST_WORDS), whole), F.struct("s.matched", "s.overlap")).alias("hit"),
+    ).filter("hit is not null")
+    best = F.max("hit").alias("best")
     return scored.groupBy("id", "text_key", "item").agg(best).select("id", "text_key", "item", "best.matched", "best.overlap")
 
 

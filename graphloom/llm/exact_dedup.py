@@ -62,7 +62,7 @@ def _resolve(schema: T.StructType):
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in row_batches(batches):
-            rows = list(zip(*[c.to_pylist() for c in batch.columns], strict=True))
+            rows = list(zip(*[batch.column(c).to_pylist() for c in ("bucket", "id", "row", "points", "body")], strict=True))
             if held and held[-1][0] != rows[0][0]:
                 yield answer(held)
                 held = []

@@ -183,7 +183,7 @@ def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pages -> (host, path, kind, feature, pages): text blocks and child sequences with the pages that show them."""
     for batch in row_batches(batches):
         seen: Counter = Counter()
-        for host, source in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+        for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
             blocks, children = parse(source)
             found = {(host, b.path, "text", xxhash.xxh3_64_intdigest(b.text) >> 1) for b in blocks}
             found |= {(host, path, "style", xxhash.xxh3_64_intdigest(style) >> 1) for path, style in children.items()}
@@ -256,8 +256,8 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_batches(batches):
-            texts = [main_text(source, frozenset(paths or ())) for source, paths in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+            texts = [main_text(source, frozenset(paths or ())) for source, paths in zip(batch.column("html").to_pylist(), batch.column("low").to_pylist(), strict=True)]
+            yield pa.record_batch([batch.column("id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                   names=["id", "url", "text", "n_chars"])
 
     return rows.join(low, "host", "left").select("id", F.col("url").cast("string").alias("url"), "html", "low").mapInArrow(

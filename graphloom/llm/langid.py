@@ -49,7 +49,7 @@ def spell(words: list[str]) -> list[bytes]:
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in row_batches(batches):
         counts: Counter = Counter()
-        for language, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+        for language, text in zip(batch.column("language").to_pylist(), batch.column("text").to_pylist(), strict=True):
             counts.update((language, w) for w in words_of(text))
         keys = list(counts)
         yield pa.record_batch([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
@@ -171,14 +171,14 @@ def with_language(docs: DataFrame, languages: list[str], model: np.ndarray, text
     ``names`` are those of the new columns; they must not be columns of ``docs``.
     """
     sent, scorer = docs.sparkSession.sparkContext.broadcast(model), fresh("scorer")
-    text_at = docs.columns.index(text_column)
+    columns = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if scorer not in _SCORERS and languages:
             _SCORERS.clear()
             _SCORERS[scorer] = Scorer(sent.value, vocabulary)
         for batch in row_batches(batches):
-            texts = batch.column(text_at).to_pylist()
+            texts = batch.column(text_column).to_pylist()
             found, scores = [NONE] * len(texts), [0.0] * len(texts)
             if languages:
                 sums = _SCORERS[scorer].texts(texts)
@@ -187,8 +187,8 @@ def with_language(docs: DataFrame, languages: list[str], model: np.ndarray, text
                 for i, text in enumerate(texts):
                     if text and _LETTERS.search(text):
                         found[i], scores[i] = languages[best[i]], float(share[i])
-            yield pa.record_batch([*batch.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())],
-                                  names=[*batch.schema.names, *names])
+            yield pa.record_batch([*[batch.column(c) for c in columns], pa.array(found, pa.string()), pa.array(scores, pa.float64())],
+                                  names=[*columns, *names])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
     return docs.mapInArrow(run, schema)

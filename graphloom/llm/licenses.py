@@ -172,11 +172,11 @@ _FIELDS = [
 
 def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in row_batches(batches):
-        rows = [scan(t) for t in batch.column(1).to_pylist()]
+        rows = [scan(t) for t in batch.column("text").to_pylist()]
         columns = list(zip(*rows, strict=True))
         spans = [[{"phrase": p, "start": s, "stop": e} for p, s, e in row] for row in columns[-1]]
         arrays = [pa.array(c, kind) for c, (_, kind) in zip([*columns[:-1], spans], _FIELDS, strict=True)]
-        yield pa.record_batch([batch.column(0), *arrays], names=["id", *[n for n, _ in _FIELDS]])
+        yield pa.record_batch([batch.column("id"), *arrays], names=["id", *[n for n, _ in _FIELDS]])
 
 
 def license_scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

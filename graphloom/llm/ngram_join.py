@@ -126,7 +126,7 @@ def sketches(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_batches(batches):
             names, sizes, bands, sketch = [], [], [], []
-            for text in batch.column(2).to_pylist():
+            for text in batch.column("text").to_pylist():
                 grams = shingles(text)
                 sizes.append(len(grams))
                 if not len(grams):
@@ -140,7 +140,7 @@ def sketches(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
                 bands.append(mixed(groups[:, 0] + mixed(groups[:, 1] + mixed(groups[:, 2] + np.arange(BANDS, dtype=np.uint64)))).view(np.int64).tolist())
                 sketch.append((least >> np.uint64(48)).astype("<u2").tobytes())
             yield pa.record_batch([
-                batch.column(0), batch.column(1), pa.array(names, pa.binary()), pa.array(sizes, pa.int32()),
+                batch.column("id"), batch.column("text_key"), pa.array(names, pa.binary()), pa.array(sizes, pa.int32()),
                 pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
                 names=["id", "text_key", "set_id", "n", "bands", "sketch"])
 

@@ -70,7 +70,7 @@ def _pack(buckets: int, common: np.ndarray):
             yield pack_one(batch)
 
     def pack_one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = {(i, k): t for i, k, t in zip(*[c.to_pylist() for c in batch.columns], strict=True)}  # repeated rows are one document
+        rows = {(i, k): t for i, k, t in zip(*[batch.column(c).to_pylist() for c in ("id", "text_key", "text")], strict=True)}  # repeated rows are one document
         keys = sorted(rows, key=lambda k: (_key(k[0]), k[1]))
         split = [rows[k].split() for k in keys]
         ends = np.cumsum([len(w) for w in split])
@@ -114,7 +114,7 @@ def _pack(buckets: int, common: np.ndarray):
         return pa.record_batch([
             pa.array(goes, pa.int32()), pa.array([*blobs, *[None] * len(known)], pa.binary()),
             lists(pa.array(short)),
-            lists(pa.array([k[0] for k in keys], batch.schema.field(0).type).take(pa.array(own))),
+            lists(pa.array([k[0] for k in keys], batch.schema.field("id").type).take(pa.array(own))),
             lists(pa.array(np.array([k[1] for k in keys], np.int32)[own] if keys else np.zeros(0, np.int32))),
             lists(pa.array(start[members].astype(np.int32))), pa.array(spans, pa.list_(pa.int32()))],
             names=["bucket", "blob", "minimisers", "ids", "text_keys", "starts", "windows"])
@@ -206,7 +206,7 @@ def common_runs(rows: DataFrame, total: int) -> np.ndarray:
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_batches(batches):
-            for text in batch.column(2).to_pylist():
+            for text in batch.column("text").to_pylist():
                 words = text.split()
                 found = np.unique(run_hashes(hashes(words), RUN) >> np.uint64(1))
                 yield pa.record_batch([pa.array(found.astype(np.int64))], names=["run"])
@@ -241,8 +241,8 @@ def repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
 
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in row_batches(batches):
-        ids, out = batch.column(0), []
-        for text, stretches in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+        ids, out = batch.column("id"), []
+        for text, stretches in zip(batch.column("text").to_pylist(), batch.column("stretches").to_pylist(), strict=True):
             words = text.split()
             total = len(words)
             if stretches:

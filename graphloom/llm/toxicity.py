@@ -149,8 +149,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     marked = labels.filter(F.col(label_column).isNotNull() & F.col(id_column).isNotNull()).groupBy(id_column) \
         .agg((F.avg(label_column) >= 0.5).cast("int").alias("label"))
     chosen = marked.orderBy(F.xxhash64(id_column), id_column).limit(examples)
-    # at most ``examples`` ids
-    sample = docs.join(F.broadcast(chosen), id_column).select(F.col(id_column).alias("id"), "label", text_of(text_column).alias("text")).persist()
+    # at most ``examples`` ids are broadcast
+    texts = docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("text"))
+    sample = texts.join(F.broadcast(chosen.withColumnRenamed(id_column, "id")), "id").persist()
     totals = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     positive, negative = totals.get(1, 0), totals.get(0, 0)
     n = positive + negative
@@ -168,7 +169,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counted, total, places = Counter(), 0, _Places(place)
         for batch in row_batches(batches):
-            for text in batch.column(0).to_pylist():
+            for text in batch.column("text").to_pylist():
                 total += 1
                 counted.update({t for w in words_of(text) for t in places[w]})
         yield pa.record_batch([pa.array([-1, *counted], pa.int32()), pa.array([total, *counted.values()], pa.int64())], names=["term", "n"])
@@ -176,9 +177,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     def uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = _Places(place)
         for batch in row_batches(batches):
-            found = [sorted(Counter(t for w in words_of(text) for t in places[w]).items()) for text in batch.column(2).to_pylist()]
+            found = [sorted(Counter(t for w in words_of(text) for t in places[w]).items()) for text in batch.column("text").to_pylist()]
             yield pa.record_batch([
-                batch.column(0), batch.column(1), pa.array([[t for t, _ in f] for f in found], pa.list_(pa.int32())),
+                batch.column("id"), batch.column("label"), pa.array([[t for t, _ in f] for f in found], pa.list_(pa.int32())),
                 pa.array([[c for _, c in f] for f in found], pa.list_(pa.int32()))], names=["id", "label", "terms", "counts"])
 
     if not terms:
@@ -201,7 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
 def _distinct_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in row_batches(batches, rows=200):
         labels, terms = [], []
-        for label, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+        for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist(), strict=True):
             found = {t for w in set(words_of(text)) for t in terms_of(w)}
             terms += found
             labels += [label] * len(found)
@@ -223,10 +224,10 @@ def score(docs: DataFrame, index: Index, id_column: str = "doc_id", text_column:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = sent.value
         for batch in row_batches(batches):
-            found = [held.score(words_of(t)) for t in batch.column(1).to_pylist()]
+            found = [held.score(words_of(t)) for t in batch.column("text").to_pylist()]
             evidence = [[{"example": str(held.ids[e]), "similarity": s, "label": int(held.labels[e])} for s, e in near] for _, near in found]
             yield pa.record_batch([
-                batch.column(0), pa.array([s for s, _ in found], pa.float64()), pa.array([int(s >= 0.5) for s, _ in found], pa.int32()),
+                batch.column("id"), pa.array([s for s, _ in found], pa.float64()), pa.array([int(s >= 0.5) for s, _ in found], pa.int32()),
                 pa.array(evidence, pa.list_(entry))], names=["id", "score", "predicted", "evidence"])
 
     return docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("text")).mapInArrow(
