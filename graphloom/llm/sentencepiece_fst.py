@@ -280,8 +280,8 @@ def encode(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_batches(batches):
-            ids = compiled(model).encode(batch.column(1).to_pylist())
-            yield pa.record_batch([batch.column(0), _ids_column(ids)], names=["id", "ids"])
+            ids = compiled(model).encode(batch.column("text").to_pylist())
+            yield pa.record_batch([batch.column("id"), _ids_column(ids)], names=["id", "ids"])
 
     return docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("text")).mapInArrow(run, f"id {kind}, ids array<int>")
 
@@ -292,8 +292,8 @@ def decode(coded: DataFrame, id_column: str = "id", ids_column: str = "ids", mod
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_batches(batches):
-            texts = [compiled(model).decode(np.array(i or [], np.int64)) for i in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])
+            texts = [compiled(model).decode(np.array(i or [], np.int64)) for i in batch.column("ids").to_pylist()]
+            yield pa.record_batch([batch.column("id"), pa.array(texts, pa.string())], names=["id", "text"])
 
     return coded.select(F.col(id_column).alias("id"), F.col(ids_column).alias("ids")).mapInArrow(run, f"id {kind}, text string")
 
@@ -309,11 +309,11 @@ def round_trip(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = compiled(model)
         for batch in row_batches(batches):
-            texts = batch.column(1).to_pylist()
+            texts = batch.column("text").to_pylist()
             ids = machine.encode(texts)
             again = [machine.decode(i) for i in ids]
             yield pa.record_batch([
-                batch.column(0), _ids_column(ids), pa.array([len(i) for i in ids], pa.int64()),
+                batch.column("id"), _ids_column(ids), pa.array([len(i) for i in ids], pa.int64()),
                 pa.array([hashlib.sha256(t.encode()).hexdigest() for t in again]),
                 pa.array([a == b for a, b in zip(again, texts, strict=True)]),
             ], names=["id", "ids", "n_ids", "decoded_sha256", "exact"])
