@@ -13,14 +13,14 @@ def order_key(seed: int, *cols: str | Column) -> Column:
     return F.md5(F.concat_ws(":", *[p.cast("string") for p in parts], F.lit(str(seed))))
 
 
-def bucket32(seed: int, *cols: str | Column) -> Column:
-    """Seeded integer in [0, 2**32)."""
-    return F.conv(F.substring(order_key(seed, *cols), 1, 8), 16, 10).cast("bigint")
+def bucket60(seed: int, *cols: str | Column) -> Column:
+    """Seeded integer in [0, 2**60): more values than there are rows to pick from."""
+    return F.conv(F.substring(order_key(seed, *cols), 1, 15), 16, 10).cast("bigint")
 
 
 def unit(seed: int, *cols: str | Column) -> Column:
     """Seeded number strictly between 0 and 1."""
-    return (bucket32(seed, *cols) + F.lit(0.5)) / F.lit(4294967296.0)
+    return (bucket60(seed, *cols) + F.lit(0.5)) / F.lit(float(1 << 60))
 
 
 def stable_id(type_name: str | Column, *keys: str | Column) -> Column:

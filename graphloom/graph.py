@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from graphloom.session import cut
+
 
 @dataclass(frozen=True)
 class Graph:
@@ -51,9 +53,7 @@ class Graph:
 
     def without_supernodes(self, cutoff: int) -> Graph:
         """Drop vertices whose total degree is above ``cutoff``, and their edges."""
-        heavy = (
-            endpoint_rows(self.edges).groupBy("id").count().filter(F.col("count") > cutoff).select("id")
-        )
+        heavy = cut(endpoint_rows(self.edges).groupBy("id").count().filter(F.col("count") > cutoff).select("id"))
         kept = self.vertices.join(heavy, "id", "left_anti")
         edges = self.edges.join(heavy.withColumnRenamed("id", "src"), "src", "left_anti").join(
             heavy.withColumnRenamed("id", "dst"), "dst", "left_anti"

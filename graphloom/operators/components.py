@@ -1,7 +1,7 @@
 """Connected components, strong components, bridges.
 
 Every loop keeps a fixed set of columns, cuts the lineage once a round with a
-reliable checkpoint, and asks the data for one number to decide whether to go on.
+written table, and asks the data for one number to decide whether to go on.
 """
 
 from __future__ import annotations
@@ -45,7 +45,8 @@ def connected_components(graph: Graph) -> DataFrame:
 def _large_star(links: DataFrame) -> DataFrame:
     """Point every larger neighbour of u at the smallest of u and its neighbours."""
     ends = both_ways(links)
-    least = ends.groupBy("src").agg(F.least(F.col("src"), F.min("dst")).alias("m"))
+    # written, so that the join can split the links of a hub
+    least = cut(ends.groupBy("src").agg(F.least(F.col("src"), F.min("dst")).alias("m")))
     moved = ends.filter("dst > src").join(least, "src").select(F.col("m").alias("src"), "dst")
     # repeats are folded by the small-star step that follows
     return moved.filter("src <> dst")
@@ -54,7 +55,7 @@ def _large_star(links: DataFrame) -> DataFrame:
 def _small_star(links: DataFrame) -> DataFrame:
     """Point u and its smaller neighbours at the smallest of them."""
     # links come with src < dst, so dst is the centre and src a smaller neighbour
-    least = links.groupBy("dst").agg(F.min("src").alias("m"))
+    least = cut(links.groupBy("dst").agg(F.min("src").alias("m")))
     moved = links.join(least, "dst").select(
         F.explode(F.array(
             F.struct(F.col("m").alias("src"), F.col("src").alias("dst")),

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.functions.hashing import bucket32, order_key
-from graphloom.functions.ordering import dense_index
+from graphloom.functions.hashing import bucket60, order_key
+from graphloom.functions.ordering import dense_index, first_by_key
 from graphloom.functions.vectors import dot
 from graphloom.graph import Graph, both_ways, endpoint_rows, undirected_pairs
 from graphloom.session import cut
@@ -68,7 +68,7 @@ def negative_sampling(graph: Graph, n: int, seed: int, per_edge: int = 2) -> Dat
     """n ordered vertex pairs that are no edges and no self pairs, seeded.
 
     Candidates are drawn from the numbered vertices by hash, then real edges are
-    anti-joined away; if too few are left the draw is widened.  The complement of
+    anti-joined away; if too few are left, further draws are added to those made.  The complement of
     the graph is never built.
     """
     numbered = cut(dense_index(graph.vertices.select("id"), ["id"], "place"))
@@ -78,11 +78,11 @@ def negative_sampling(graph: Graph, n: int, seed: int, per_edge: int = 2) -> Dat
     if n > room:
         raise ValueError(f"only {room} pairs are not edges, {n} were asked for")
     spread = graph.vertices.sparkSession.range
-    draws = n * per_edge
+    drawn, draws, found = 0, n * per_edge, None
     while True:
-        ends = spread(draws).select(
-            F.pmod(bucket32(seed, "id", F.lit("s")), F.lit(size)).alias("ps"),
-            F.pmod(bucket32(seed, "id", F.lit("d")), F.lit(size)).alias("pd"),
+        ends = spread(drawn, draws).select(
+            F.pmod(bucket60(seed, "id", F.lit("s")), F.lit(size)).alias("ps"),
+            F.pmod(bucket60(seed, "id", F.lit("d")), F.lit(size)).alias("pd"),
         )
         candidates = (
             ends.filter("ps <> pd").distinct()
@@ -90,10 +90,10 @@ def negative_sampling(graph: Graph, n: int, seed: int, per_edge: int = 2) -> Dat
             .join(numbered.select(F.col("place").alias("pd"), F.col("id").alias("dst")), "pd")
             .select("src", "dst").join(edges, ["src", "dst"], "left_anti")
         )
-        found = cut(candidates)
+        found = cut(candidates if found is None else found.unionByName(candidates).distinct())
         if found.count() >= n:
-            return found.orderBy(order_key(seed, "src", "dst"), "src", "dst").limit(n)
-        draws *= 2
+            return first_by_key(found, order_key(seed, "src", "dst"), ["src", "dst"], n)
+        drawn, draws = draws, draws * 2
 
 
 def pair_vectors(pairs: DataFrame, vectors: DataFrame) -> DataFrame:

@@ -145,7 +145,8 @@ def path_counts(
         labelled = holders.select(
             F.col("id").alias("src"), *[F.col(prop).alias(name) for name, prop in labels.items()]
         )
-        suffix = counted.join(labelled, "src")
+        # written, so that the next join can split the edges of a hub
+        suffix = cut(counted.join(labelled, "src"))
         fields = [*labels, edge_name, *fields]
     return suffix.groupBy(*fields).agg(F.sum("n").alias("n")).orderBy(F.desc("n"), *fields)
 
@@ -201,10 +202,14 @@ def ranked_edges(graph: Graph, edge_label: str | None, vertex_label: str | None)
 
     Parallel edges with the same label are folded into a multiplicity ``m``.
     """
-    degrees = endpoint_rows(graph.edges).groupBy("id").agg(F.count("*").alias("degree"))
+    known = graph.__dict__.setdefault("_ranked", {})
+    if (edge_label, vertex_label) in known:
+        return known[edge_label, vertex_label]
+    # written, so that the joins can split the edges of a hub
+    degrees = cut(endpoint_rows(graph.edges).groupBy("id").agg(F.count("*").alias("degree")))
     facts = degrees
     if vertex_label:
-        facts = degrees.join(graph.vertices.select("id", F.col(vertex_label).alias("label")), "id")
+        facts = cut(degrees.join(graph.vertices.select("id", F.col(vertex_label).alias("label")), "id"))
     label = [F.col(edge_label).alias("e")] if edge_label else [F.lit("").alias("e")]
     folded = graph.edges.select("src", "dst", *label).groupBy("src", "dst", "e").agg(F.count("*").alias("m"))
     for end, short in (("src", "s"), ("dst", "d")):
@@ -214,8 +219,9 @@ def ranked_edges(graph: Graph, edge_label: str | None, vertex_label: str | None)
             *([F.col("label").alias(f"{short}_label")] if vertex_label else []),
         )
         folded = folded.join(side, end)
-    # read by every branch of a pattern, so it is written once
-    return cut(folded)
+    # read by every branch of every pattern on this graph, so it is written once
+    known[edge_label, vertex_label] = cut(folded)
+    return known[edge_label, vertex_label]
 
 
 def triangle_matches(

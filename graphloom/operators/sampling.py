@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphloom.functions.hashing import bucket32, order_key, unit
-from graphloom.functions.ordering import dense_index
+from graphloom.functions.hashing import bucket60, order_key, unit
+from graphloom.functions.ordering import dense_index, first_by_key
 from graphloom.graph import Graph, both_ways, edge_ends, undirected_pairs
 from graphloom.session import cut
 
@@ -17,17 +17,16 @@ def weighted_nodes(weights: DataFrame, n: int, seed: int, weight: str = "weight"
     """n ids without replacement, chance in proportion to weight (Efraimidis and Spirakis
     2006): the n smallest of -ln(u)/w.  Vertices of weight 0 are never drawn."""
     key = -F.ln(unit(seed, "id")) / F.col(weight)
-    return (
-        weights.filter(F.col(weight) > 0).select("id", key.alias("_key")).orderBy("_key", "id").limit(n).select("id")
-    )
+    keyed = weights.filter(F.col(weight) > 0).select("id", key.alias("_key"))
+    return dense_index(keyed, ["_key", "id"], "_at").filter(F.col("_at") < n).select("id")
 
 
 def uniform_nodes(ids: DataFrame, n: int, seed: int) -> DataFrame:
-    return ids.select("id").orderBy(order_key(seed, "id"), "id").limit(n)
+    return first_by_key(ids.select("id"), order_key(seed, "id"), ["id"], n)
 
 
 def random_edges(edges: DataFrame, n: int, seed: int) -> DataFrame:
-    return edges.select("src", "dst").orderBy(order_key(seed, "src", "dst"), "src", "dst").limit(n)
+    return first_by_key(edges.select("src", "dst"), order_key(seed, "src", "dst"), ["src", "dst"], n)
 
 
 def random_edges_induced(graph: Graph, n: int, seed: int) -> Graph:
@@ -69,7 +68,7 @@ def snowball(graph: Graph, starts: DataFrame, hops: int, fanout: int, max_nodes:
             .select(F.col("dst").alias("id")).distinct().join(seen, "id", "left_anti")
         )
         room = max_nodes - count
-        frontier = cut(found.orderBy(order_key(seed + 1, "id"), "id").limit(room))
+        frontier = cut(first_by_key(found, order_key(seed + 1, "id"), ["id"], room))
         added = frontier.count()
         if added == 0:
             break
@@ -156,7 +155,7 @@ def random_walks(
     state = cut(_starts(graph, walks_per_node).withColumn("prev", F.lit(None).cast(graph.vertices.schema["id"].dataType)))
     steps = [state.select("walk", F.lit(0).alias("step"), "node")]
     for number in range(1, length):
-        draw = bucket32(seed + number, "walk")
+        draw = bucket60(seed + number, "walk")
         here = state.join(index.degrees, "node")
         if backtrack:
             moved = index.step(here, F.pmod(draw, F.col("degree")))
@@ -200,7 +199,7 @@ def biased_walks(
             drawn = waiting.join(index.degrees, "node").withColumn(
                 "try", F.explode(F.sequence(F.lit(attempt), F.lit(attempt + tries - 1)))
             )
-            pick = F.pmod(bucket32(seed + number, "walk", "try"), F.col("degree"))
+            pick = F.pmod(bucket60(seed + number, "walk", "try"), F.col("degree"))
             offered = index.step(drawn, pick).join(linked, ["prev", "next"], "left")
             weight = F.when(F.col("next") == F.col("prev"), 1 / p).when(F.col("near"), 1.0).otherwise(1 / q)
             good = offered.filter(unit(seed - number, "walk", "try") * top < weight)

@@ -90,7 +90,8 @@ def degree_centrality(graph: Graph) -> DataFrame:
 def degree_assortativity(graph: Graph) -> DataFrame:
     """Pearson correlation, over edges, of a degree of the source and one of the target,
     for all four pairs.  The usual directed coefficient is (out, in)."""
-    d = degrees(graph).select("id", "in_degree", "out_degree")
+    # written, so that the joins can split the edges of a hub
+    d = cut(degrees(graph).select("id", "in_degree", "out_degree"))
     ends = graph.edges.select("src", "dst")
     for end, mark in (("src", "s"), ("dst", "d")):
         ends = ends.join(
@@ -131,7 +132,7 @@ def oriented_pairs(pairs: DataFrame) -> DataFrame:
     Every out-degree is then at most sqrt(2m), whatever the largest degree is.
     Columns other than src and dst are kept; ``flipped`` tells a turned pair.
     """
-    d = endpoint_rows(pairs).groupBy("id").agg(F.count("*").alias("_d"))
+    d = cut(endpoint_rows(pairs).groupBy("id").agg(F.count("*").alias("_d")))
     rest = [c for c in pairs.columns if c not in ("src", "dst")]
     ranked = pairs.join(d.select(F.col("id").alias("src"), F.struct("_d", F.col("id")).alias("_rs")), "src").join(
         d.select(F.col("id").alias("dst"), F.struct("_d", F.col("id")).alias("_rd")), "dst"

@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphloom.functions.hashing import bucket32, order_key
-from graphloom.functions.ordering import dense_index, running_totals
+from graphloom.functions.hashing import bucket60, order_key
+from graphloom.functions.ordering import dense_index, first_by_key, running_totals
 
 
 def value_counts(df: DataFrame, *cols: str) -> DataFrame:
@@ -55,12 +55,12 @@ def share_of_total(df: DataFrame, col: str, name: str) -> DataFrame:
 
 def sample_rows(df: DataFrame, n: int, seed: int, *keys: str) -> DataFrame:
     """n rows in a seeded random order, the same ones on every run."""
-    return df.orderBy(order_key(seed, *keys), *keys).limit(n)
+    return first_by_key(df, order_key(seed, *keys), list(keys), n)
 
 
 def split_rows(df: DataFrame, test_percent: int, seed: int, *keys: str) -> DataFrame:
     """Mark each row train or test by its key, whatever the partitioning."""
-    is_test = F.pmod(bucket32(seed, *keys), F.lit(100)) < test_percent
+    is_test = F.pmod(bucket60(seed, *keys), F.lit(100)) < test_percent
     return df.withColumn("split", F.when(is_test, "test").otherwise("train"))
 
 

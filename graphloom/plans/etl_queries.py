@@ -668,7 +668,7 @@ def neighbor_intersection(spark, sf):
     return graph.edges.join(sample, "dst", "left_semi").select(F.col("src").alias("id"), F.col("dst").alias("neighbor"))
 
 
-_TEST_EDGE = "('0x' || substr(md5(src || ':' || dst || ':31337'), 1, 8))::BIGINT % 100 < 10"
+_TEST_EDGE = "('0x' || substr(md5(src || ':' || dst || ':31337'), 1, 15))::BIGINT % 100 < 10"
 
 
 @query("U05_remove_edges", f"WITH {COPURCHASE} SELECT src, dst FROM edges WHERE NOT {_TEST_EDGE}")

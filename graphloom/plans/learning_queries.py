@@ -8,7 +8,7 @@ from graphloom.operators import community, embedding, sampling
 from graphloom.plans import fixtures as fx
 from graphloom.plans.fixtures import COPURCHASE
 from graphloom.plans.registry import query
-from graphloom.plans.sampling_queries import vectors
+from graphloom.plans.sampling_queries import SEED, _walk_sql, vectors
 from graphloom.plans.structure_queries import BOTH, DEGREES, rounded
 
 
@@ -57,15 +57,25 @@ def attention_aggregate(spark, sf):
     return shown(embedding.attention_aggregate(fx.copurchase(spark, sf).edges, doubles(spark, sf)))
 
 
-@query("G03_walk_embedding")
+_COOCCURRENCE = f"""{_walk_sql(6)},
+met AS MATERIALIZED (SELECT a.node, b.node AS context, count(*)::DOUBLE AS n FROM walks a JOIN walks b ON b.walk = a.walk AND b.step <> a.step AND abs(b.step - a.step) <= 3 GROUP BY ALL),
+r AS MATERIALIZED (SELECT node, sum(n) AS r FROM met GROUP BY ALL), t AS (SELECT sum(n) AS t FROM met),
+pmi AS MATERIALIZED (SELECT m.node, m.context, ln(n * t / (a.r * b.r)) AS x FROM met m JOIN r a ON a.node = m.node JOIN r b ON b.node = m.context, t WHERE ln(n * t / (a.r * b.r)) > 0),
+axes AS MATERIALIZED (SELECT node AS context, i, CASE WHEN ('0x' || substr(md5(node || ':' || ({SEED} + i)), 1, 15))::BIGINT % 2 = 0 THEN 1 ELSE -1 END AS s FROM r, (SELECT unnest(range(16)) AS i)),
+a AS (SELECT p.node AS id, i, sum(s * x) AS v FROM pmi p JOIN axes USING (context) GROUP BY ALL)
+SELECT w.id, 16::BIGINT AS width, round(coalesce(sum(v), 0), 5) AS total, round(coalesce(sum(v * v), 0), 5) AS squares
+FROM (SELECT DISTINCT node AS id FROM walks) w LEFT JOIN a USING (id) GROUP BY w.id"""
+
+
+@query("G03_walk_embedding", _COOCCURRENCE)
 def walk_embedding(spark, sf):
     walks = sampling.random_walks(fx.copurchase(spark, sf), 6)
     return shown(embedding.walk_embedding(walks, 16, 3).withColumnRenamed("node", "id"))
 
 
-@query("G03_cooccurrence_embedding")
+@query("G03_cooccurrence_embedding", _COOCCURRENCE)
 def cooccurrence_embedding(spark, sf):
-    """The table-only form used where a skip-gram model would not fit the driver."""
+    """The same by its other name."""
     walks = sampling.random_walks(fx.copurchase(spark, sf), 6)
     return shown(embedding.cooccurrence_embedding(walks, 16, 3).withColumnRenamed("node", "id"))
 

@@ -16,11 +16,11 @@ SEED = 31337
 
 
 def unit_sql(text: str, seed: int = SEED) -> str:
-    return f"((('0x' || substr(md5({text} || ':{seed}'), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE)"
+    return f"((('0x' || substr(md5({text} || ':{seed}'), 1, 15))::BIGINT + 0.5::DOUBLE) / (1152921504606846976)::DOUBLE)"
 
 
 def bucket_sql(text: str, seed: int = SEED) -> str:
-    return f"('0x' || substr(md5({text} || ':{seed}'), 1, 8))::BIGINT"
+    return f"('0x' || substr(md5({text} || ':{seed}'), 1, 15))::BIGINT"
 
 
 def induced_sql(ids: str) -> str:
@@ -127,16 +127,20 @@ w0 AS MATERIALIZED (SELECT id || '-0' AS walk, id AS node, NULL::BIGINT AS prev
     return ",\n".join(parts) + f", walks AS ({union})"
 
 
-@query("G01_random_walks", f"{_walk_sql(6)} SELECT walk, step, node FROM walks")
+@query("G01_random_walks", f"{_walk_sql(16)} SELECT walk, step, node FROM walks")
 def random_walks(spark, sf):
-    return sampling.random_walks(fx.copurchase(spark, sf), 6)
+    return sampling.random_walks(fx.copurchase(spark, sf), 16)
 
 
-@query("F08_random_walk_sample", f"{_walk_sql(4)}, picked AS (SELECT DISTINCT node AS id FROM walks WHERE step = 3) {induced_sql('picked')}")
+_FEW_WALKS = "(substr(walk, 1, length(walk) - 2)::BIGINT) % 97 = 0"
+
+
+@query("F08_random_walk_sample", f"{_walk_sql(16)}, picked AS (SELECT DISTINCT node AS id FROM walks WHERE {_FEW_WALKS}) {induced_sql('picked')}")
 def random_walk_sample(spark, sf):
-    """Subgraph among the vertices where three-step walks end."""
+    """Subgraph among all the vertices that the walks from one in 97 vertices visit."""
     graph = fx.copurchase(spark, sf)
-    return sampling.walk_sample(graph, sampling.random_walks(graph, 4).filter("step = 3")).edges.select("src", "dst")
+    walks = sampling.random_walks(graph, 16).filter("cast(substring(walk, 1, length(walk) - 2) as bigint) % 97 = 0")
+    return sampling.walk_sample(graph, walks).edges.select("src", "dst")
 
 
 @query("F08_non_backtracking_walks", f"{_walk_sql(5, backtrack=False)} SELECT walk, step, node FROM walks")
