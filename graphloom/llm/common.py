@@ -36,6 +36,16 @@ def document_key(id_column: str, text_column: str) -> list[Column]:
     return [F.col(id_column).alias("id"), F.xxhash64(text_of(text_column)).alias("text_key")]
 
 
+#: bytes that Spark hands to a Python worker at a time, whatever the length of the texts
+ARROW_BYTES = 4 << 20
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, from whose session Python workers get at most ``ARROW_BYTES`` at a time, or one row."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    return df
+
+
 def row_batches(batches: Iterator[pa.RecordBatch], rows: int = 2000, size: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of bounded bytes, so that very long texts do not pile up in memory."""
     for batch in batches:

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from graphloom.llm.common import BLANKS, fresh, row_batches, shuffle_partitions, text_of
+from graphloom.llm.common import BLANKS, fresh, in_small_batches, row_batches, shuffle_partitions, text_of
 
 FIRST_DIGIT, GROWTH = 16, 8
 #: a branch may hold this part of a mean task's rows before it is split on the cluster
@@ -88,7 +88,7 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
     one.  Rows are told apart by ``row``, their place in the scan, so ``docs`` is a table read from files.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("_t")).select(
+    rows = in_small_batches(docs).select(F.col(id_column).alias("id"), text_of(text_column).alias("_t")).select(
         "id", F.monotonically_increasing_id().alias("row"), F.length("_t").alias("points"),
         F.encode(F.regexp_replace("_t", BLANKS, ""), "UTF-8").alias("body"),
         F.lit(0).alias("branch"), F.lit(0).alias("start"), F.lit(FIRST_DIGIT).alias("width"), F.lit(False).alias("ended"))

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import row_batches, text_of
+from graphloom.llm.common import in_small_batches, row_batches, text_of
 
 #: share of the content in a node's importance, and the importance under which a branch is removed
 GAMMA, LEAST = 0.9, 0.4
@@ -246,7 +246,7 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
     with one page has no low branch.  Repeated rows count as pages of their own.  Very long pages are read whole;
     an empty table gives an empty one; other columns play no part.
     """
-    rows = pages.select(F.col(id_column).alias("id"), F.col(url_column).alias("url"), text_of(html_column).alias("html")).withColumn("host", _host())
+    rows = in_small_batches(pages).select(F.col(id_column).alias("id"), F.col(url_column).alias("url"), text_of(html_column).alias("html")).withColumn("host", _host())
     low = style_tree(rows.select("host", "html")).filter(F.col("importance") < LEAST).groupBy("host").agg(F.collect_set("path").alias("low"))
     # a host's low paths stand on two of its pages at least; few in practice, and checked before they are broadcast
     low = low.persist()

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graphloom.llm import lattice
-from graphloom.llm.common import fresh, row_batches
+from graphloom.llm.common import fresh, in_small_batches, row_batches
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: at most so many documents of each language are fitted on, the first by a hash of their id
@@ -63,7 +63,7 @@ def fit(docs: DataFrame, language: Column, identity: Column, text_column: str =
     The sample holds up to ``documents`` texts of each language.  Its word counts stay a table; each round
     sums expected piece counts in tasks, and only these (languages times vocabulary) reach the driver.
     """
-    labelled = docs.select(language.alias("language"), F.col(text_column).alias("text"), identity.alias("pick")) \
+    labelled = in_small_batches(docs).select(language.alias("language"), F.col(text_column).alias("text"), identity.alias("pick")) \
         .filter("language is not null and text is not null")
     counts = {r["language"]: r["n"] for r in labelled.groupBy("language").agg(F.count("*").alias("n")).collect()}
     languages = sorted(counts)
@@ -191,7 +191,7 @@ def with_language(docs: DataFrame, languages: list[str], model: np.ndarray, text
                                   names=[*columns, *names])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
-    return docs.mapInArrow(run, schema)
+    return in_small_batches(docs).mapInArrow(run, schema)
 
 
 def predict(docs: DataFrame, languages: list[str], model: np.ndarray, id_column: str = "doc_id", text_column: str = "text",

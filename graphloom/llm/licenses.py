@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import row_batches
+from graphloom.llm.common import in_small_batches, row_batches
 
 # Phrase -> label of the base scan.
 BASE = {
@@ -192,4 +192,4 @@ def license_scan(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     schema = (f"id {kind}, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, "
               "labels string, score double, spans array<struct<phrase: string, start: bigint, stop: bigint>>")
     text = F.encode(F.coalesce(F.col(text_column).cast("string"), F.lit("")), "UTF-8")
-    return docs.select(F.col(id_column).alias("id"), text.alias("text")).mapInArrow(_scan_batches, schema)
+    return in_small_batches(docs).select(F.col(id_column).alias("id"), text.alias("text")).mapInArrow(_scan_batches, schema)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.graph import Graph
-from graphloom.llm.common import document_key, fresh, row_batches, text_of
+from graphloom.llm.common import document_key, fresh, in_small_batches, row_batches, text_of
 from graphloom.llm.wordhash import hashes, mixed, run_hashes
 from graphloom.operators.components import connected_components
 from graphloom.session import cut
@@ -144,7 +144,7 @@ def sketches(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
                 pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
                 names=["id", "text_key", "set_id", "n", "bands", "sketch"])
 
-    rows = docs.select(*document_key(id_column, text_column), text_of(text_column).alias("text"))
+    rows = in_small_batches(docs).select(*document_key(id_column, text_column), text_of(text_column).alias("text"))
     return rows.mapInArrow(run, f"id {kind}, text_key long, {_SKETCH}")
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm import lattice
-from graphloom.llm.common import row_batches, text_of
+from graphloom.llm.common import in_small_batches, row_batches, text_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: stretches of text whose ids a worker keeps, in two generations: when one is full, the one before it goes
@@ -283,7 +283,7 @@ def encode(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
             ids = compiled(model).encode(batch.column("text").to_pylist())
             yield pa.record_batch([batch.column("id"), _ids_column(ids)], names=["id", "ids"])
 
-    return docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("text")).mapInArrow(run, f"id {kind}, ids array<int>")
+    return in_small_batches(docs).select(F.col(id_column).alias("id"), text_of(text_column).alias("text")).mapInArrow(run, f"id {kind}, ids array<int>")
 
 
 def decode(coded: DataFrame, id_column: str = "id", ids_column: str = "ids", model: str = MODEL) -> DataFrame:
@@ -295,7 +295,7 @@ def decode(coded: DataFrame, id_column: str = "id", ids_column: str = "ids", mod
             texts = [compiled(model).decode(np.array(i or [], np.int64)) for i in batch.column("ids").to_pylist()]
             yield pa.record_batch([batch.column("id"), pa.array(texts, pa.string())], names=["id", "text"])
 
-    return coded.select(F.col(id_column).alias("id"), F.col(ids_column).alias("ids")).mapInArrow(run, f"id {kind}, text string")
+    return in_small_batches(coded).select(F.col(id_column).alias("id"), F.col(ids_column).alias("ids")).mapInArrow(run, f"id {kind}, text string")
 
 
 def round_trip(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", model: str = MODEL) -> DataFrame:
@@ -318,5 +318,5 @@ def round_trip(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
                 pa.array([a == b for a, b in zip(again, texts, strict=True)]),
             ], names=["id", "ids", "n_ids", "decoded_sha256", "exact"])
 
-    return docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("text")).mapInArrow(
+    return in_small_batches(docs).select(F.col(id_column).alias("id"), text_of(text_column).alias("text")).mapInArrow(
         run, f"id {kind}, ids array<int>, n_ids bigint, decoded_sha256 string, exact boolean")

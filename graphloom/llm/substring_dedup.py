@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import row_batches, shuffle_partitions, text_of
+from graphloom.llm.common import in_small_batches, row_batches, shuffle_partitions, text_of
 from graphloom.llm.wordhash import hashes, run_hashes
 
 WINDOW, RUN = 20, 3
@@ -50,8 +50,12 @@ def minimisers(values: np.ndarray, ends: np.ndarray, common: np.ndarray) -> tupl
         return none, none, np.zeros(0, np.uint64)
     shift = np.repeat(starts - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes)
     window = np.arange(int(sizes.sum())) + shift
-    view = np.lib.stride_tricks.sliding_window_view(order, WINDOW - RUN + 1)
-    place = window + view[window].argmin(axis=1)  # leftmost of the least
+    place, least = window.copy(), order[window]
+    for shift in range(1, WINDOW - RUN + 1):  # leftmost of the least
+        other = order[window + shift]
+        smaller = other < least
+        least[smaller] = other[smaller]
+        place[smaller] = window[smaller] + shift
     breaks = np.flatnonzero(np.diff(place)) + 1
     first = np.concatenate(([0], breaks))
     last = np.concatenate((breaks, [len(place)])) - 1
@@ -219,7 +223,7 @@ def common_runs(rows: DataFrame, total: int) -> np.ndarray:
 def _rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """(id, text_key, text): the key tells texts apart under one id, in few bytes as it goes with every string."""
     text = text_of(text_column)
-    return docs.select(F.col(id_column).alias("id"), F.hash(text).alias("text_key"), F.encode(text, "UTF-8").alias("text"))
+    return in_small_batches(docs).select(F.col(id_column).alias("id"), F.hash(text).alias("text_key"), F.encode(text, "UTF-8").alias("text"))
 
 
 def repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import row_batches, text_of
+from graphloom.llm.common import in_small_batches, row_batches, text_of
 
 #: labelled rows fitted on at most, the first by a hash of their id
 EXAMPLES = 10_000
@@ -150,7 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
         .agg((F.avg(label_column) >= 0.5).cast("int").alias("label"))
     chosen = marked.orderBy(F.xxhash64(id_column), id_column).limit(examples)
     # at most ``examples`` ids are broadcast
-    texts = docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("text"))
+    texts = in_small_batches(docs).select(F.col(id_column).alias("id"), text_of(text_column).alias("text"))
     sample = texts.join(F.broadcast(chosen.withColumnRenamed(id_column, "id")), "id").persist()
     totals = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     positive, negative = totals.get(1, 0), totals.get(0, 0)
@@ -230,7 +230,7 @@ def score(docs: DataFrame, index: Index, id_column: str = "doc_id", text_column:
                 batch.column("id"), pa.array([s for s, _ in found], pa.float64()), pa.array([int(s >= 0.5) for s, _ in found], pa.int32()),
                 pa.array(evidence, pa.list_(entry))], names=["id", "score", "predicted", "evidence"])
 
-    return docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("text")).mapInArrow(
+    return in_small_batches(docs).select(F.col(id_column).alias("id"), text_of(text_column).alias("text")).mapInArrow(
         run, f"id {kind}, score double, predicted int, evidence array<struct<example: string, similarity: double, label: int>>")
 
 

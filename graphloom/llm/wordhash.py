@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: words whose hashes a worker keeps; beyond that it starts anew
-CACHE = 500_000
+CACHE = 200_000
 
 
 class _Hashes(dict):
