@@ -26,6 +26,13 @@ def top_values(df: DataFrame, group: str, value: str, n: int = 5) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
 
 
+def top_value_lists(df: DataFrame, group: str, value: str, name: str, n: int = 5) -> DataFrame:
+    """The n most frequent values per group as one list, most frequent first."""
+    ranked = top_values(df, group, value, n)
+    listed = F.array_sort(F.collect_list(F.struct("rank", F.col(value).alias("value"))))
+    return ranked.groupBy(group).agg(F.transform(listed, lambda x: x["value"]).alias(name))
+
+
 def nominate_label(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
     """The most frequent value stands for the group; ties go to the smaller value."""
     return top_values(df, group, value, 1).select(group, F.col(value).alias(name))

@@ -66,7 +66,15 @@ def bridges(spark, sf):
     return components.bridges(fx.coship(spark, sf))
 
 
-PAGERANK_ROUNDS = 20
+@query("E15_has_bridges", f"""WITH RECURSIVE {COSHIP}, {BOTH},
+walk AS (SELECT src, dst, src AS met FROM pairs UNION
+  SELECT w.src, w.dst, nb.n FROM walk w JOIN nb ON nb.id = w.met WHERE NOT (w.met = w.src AND nb.n = w.dst) AND w.met <> w.dst)
+SELECT count(*) > 0 AS has_bridges FROM pairs WHERE (src, dst) NOT IN (SELECT (src, dst) FROM walk WHERE met = dst)""")
+def has_bridges(spark, sf):
+    return components.bridges(fx.coship(spark, sf)).limit(1).agg((F.count("*") > 0).alias("has_bridges"))
+
+
+PAGERANK_ROUNDS = 60  # of the SQL, by when it stands still to more digits than are compared
 
 
 def pagerank_sql(edges: str = "edges", rounds: int = PAGERANK_ROUNDS) -> str:
@@ -85,11 +93,11 @@ r0 AS MATERIALIZED (SELECT id, 1 / n AS rank FROM vertices, n)"""]
 
 @query("E10_pagerank", f"WITH {COPURCHASE}, {pagerank_sql()} SELECT id, round(rank, 9) AS rank FROM r{PAGERANK_ROUNDS}")
 def pagerank(spark, sf):
-    ranks = centrality.pagerank(fx.copurchase(spark, sf), rounds=PAGERANK_ROUNDS, tolerance=None)
+    ranks = centrality.pagerank(fx.copurchase(spark, sf), tolerance=1e-15)
     return ranks.select("id", F.round("rank", 9).alias("rank"))
 
 
-EIGEN_ROUNDS = 15
+EIGEN_ROUNDS = 15  # by when neither side stands still yet: the co-shipment graph's second eigenvalue is near its first
 
 
 def _eigen_sql() -> str:

@@ -470,14 +470,26 @@ _edge_query("C07_edges_links", "relationship = 'Links'", lambda s, f: etl.link_e
 
 @query("C08_link_coverage", f"""WITH {FORUM},
 sources AS (SELECT 'CastFor' AS relationship, count(*) AS source_rows FROM votes
-  UNION ALL SELECT 'Tags', count(*) FROM post_tags UNION ALL SELECT 'Earns', count(*) FROM badges UNION ALL SELECT 'Links', count(*) FROM links)
+  UNION ALL SELECT 'Tags', count(*) FROM post_tags UNION ALL SELECT 'Earns', count(*) FROM badges UNION ALL SELECT 'Links', count(*) FROM links
+  UNION ALL SELECT 'Asks', count(*) FROM posts WHERE parent_key IS NULL
+  UNION ALL SELECT 'Answers by user', count(*) FROM posts WHERE parent_key IS NOT NULL
+  UNION ALL SELECT 'Answers to post', count(*) FROM posts WHERE parent_key IS NOT NULL),
+named AS (SELECT src, CASE WHEN relationship <> 'Answers' THEN relationship WHEN src IN (SELECT id FROM vertices WHERE type = 'User') THEN 'Answers by user'
+  ELSE 'Answers to post' END AS relationship FROM edges)
 SELECT relationship, source_rows, count(src) AS linked, round(count(src) * 100.0 / source_rows, 6) AS percent
-FROM sources LEFT JOIN edges USING (relationship) GROUP BY relationship, source_rows""")
+FROM sources LEFT JOIN named USING (relationship) GROUP BY relationship, source_rows""")
 def link_coverage(spark, sf):
     sources = etl.union_edges(*[df.select(F.lit(name).alias("relationship")) for name, df in (
         ("CastFor", fx.forum_votes(spark, sf)), ("Tags", etl.explode_tags(fx.forum_posts(spark, sf))),
-        ("Earns", fx.forum_badges(spark, sf)), ("Links", fx.forum_links(spark, sf)))])
-    covered = etl.link_coverage(fx.forum(spark, sf).edges, sources)
+        ("Earns", fx.forum_badges(spark, sf)), ("Links", fx.forum_links(spark, sf)),
+        ("Asks", etl.questions(fx.forum_posts(spark, sf))), ("Answers by user", etl.answers(fx.forum_posts(spark, sf))),
+        ("Answers to post", etl.answers(fx.forum_posts(spark, sf))))])
+    posts, users = fx.forum_posts(spark, sf), fx.forum_users(spark, sf)
+    edges = etl.union_edges(
+        fx.forum(spark, sf).edges.filter("relationship <> 'Answers'").select("relationship"),
+        etl.user_answers_edges(posts, users).select(F.lit("Answers by user").alias("relationship")),
+        etl.post_answers_edges(posts).select(F.lit("Answers to post").alias("relationship")))
+    covered = etl.link_coverage(edges, sources)
     return covered.withColumn("percent", F.round("percent", 6))
 
 
@@ -517,6 +529,17 @@ def top_values_per_group(spark, sf):
     return tabular.top_values(table(spark, sf, "part"), "p_brand", "p_name", 5)
 
 
+@query("D08_top_values_two_columns", """WITH n AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY n DESC, p_name) AS rank FROM (SELECT p_brand, p_name, count(*) AS n FROM part GROUP BY p_brand, p_name)),
+t AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY n DESC, p_type) AS rank FROM (SELECT p_brand, p_type, count(*) AS n FROM part GROUP BY p_brand, p_type))
+SELECT * FROM (SELECT p_brand, string_agg(p_name, '|' ORDER BY rank) AS names FROM n WHERE rank <= 5 GROUP BY p_brand)
+JOIN (SELECT p_brand, string_agg(p_type, '|' ORDER BY rank) AS types FROM t WHERE rank <= 5 GROUP BY p_brand) USING (p_brand)""")
+def top_values_two_columns(spark, sf):
+    """The most frequent names and types of every brand, as lists."""
+    part = table(spark, sf, "part")
+    lists = [tabular.top_value_lists(part, "p_brand", column, name, 5) for column, name in (("p_name", "names"), ("p_type", "types"))]
+    return lists[0].join(lists[1], "p_brand").select("p_brand", F.array_join("names", "|").alias("names"), F.array_join("types", "|").alias("types"))
+
+
 @query("D09_nominate_label", """SELECT source, lang AS label FROM (SELECT source, lang, count(*) AS n FROM documents GROUP BY ALL)
 QUALIFY row_number() OVER (PARTITION BY source ORDER BY n DESC, lang) = 1""")
 def nominate_label(spark, sf):

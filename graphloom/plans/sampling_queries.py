@@ -40,7 +40,7 @@ def degree_weighted_nodes(spark, sf):
   ORDER BY -ln({unit_sql('id')}) / rank, id LIMIT 500) {induced_sql('picked')}""")
 def pagerank_weighted_nodes(spark, sf):
     graph = fx.copurchase(spark, sf)
-    ranks = centrality.pagerank(graph, rounds=PAGERANK_ROUNDS, tolerance=None)
+    ranks = centrality.pagerank(graph, tolerance=1e-15)
     return graph.induced(sampling.weighted_nodes(ranks, 500, SEED, "rank")).edges.select("src", "dst")
 
 
