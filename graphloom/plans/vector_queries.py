@@ -6,8 +6,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from graphloom.functions.vectors import cosine_similarity
-from graphloom.operators import embedding, models, neighbors, structure, tabular
+from graphloom.operators import embedding, linkpred, models, neighbors, sampling, structure, tabular
 from graphloom.plans import fixtures as fx
+from graphloom.plans import sampling_queries
 from graphloom.plans.fixtures import COPURCHASE, table
 from graphloom.plans.learning_queries import doubles, shown
 from graphloom.plans.registry import query
@@ -120,6 +121,51 @@ def random_forest(spark, sf):
     return _scored(spark, sf, "forest")
 
 
+def _pair_scored(pairs, kind):
+    """Scores of a classifier that tells edges from non-edges, on pairs it was not fitted on."""
+    marked = tabular.split_rows(pairs.withColumn("label", F.col("label").cast("string")), 25, 31337, "src", "dst")
+    predicted = models.classify(marked.filter("split = 'train'"), marked.filter("split = 'test'"), "label", kind)
+    return rounded(tabular.weighted_scores(predicted), "accuracy", "precision", "recall", "f1")
+
+
+@query("K06_random_forest_pair_scores")
+def random_forest_pair_scores(spark, sf):
+    """Links told from non-links by the six pair scores."""
+    pairs = sampling_queries.pair_feature_table(spark, sf)
+    scores = [c for c in pairs.columns if c not in ("src", "dst", "label")]
+    return _pair_scored(models.assemble_features(pairs, scores), "forest")
+
+
+def _pair_vectors(spark, sf):
+    """Both ends' walk vectors for every edge and as many non-edges."""
+    graph = fx.copurchase(spark, sf)
+    walked = embedding.walk_embedding(sampling.random_walks(graph, 6), 16, 3).withColumnRenamed("node", "id")
+    labelled = tabular.union_labelled(graph.edges.select("src", "dst"), sampling_queries._negatives(spark, sf))
+    return models.as_features(linkpred.concat_vectors(labelled, walked))
+
+
+@query("K06_random_forest_pair_vectors")
+def random_forest_pair_vectors(spark, sf):
+    """Links told from non-links by the walk vectors of both ends."""
+    return _pair_scored(_pair_vectors(spark, sf), "forest")
+
+
+@query("K05_logistic_pair_vectors")
+def logistic_pair_vectors(spark, sf):
+    return _pair_scored(_pair_vectors(spark, sf), "logistic")
+
+
+@query("N02_gcn_classifier")
+def gcn_classifier(spark, sf):
+    """The linear classifier behind two rounds of propagated features: the kind of a part."""
+    graph = fx.copurchase(spark, sf)
+    spread = embedding.gcn_propagate(graph.edges, doubles(spark, sf), 2)
+    rows = models.as_features(spread.join(graph.vertices.select("id", F.col("kind").cast("string").alias("label")), "id"))
+    marked = tabular.split_rows(rows, 25, 31337, "id")
+    predicted = models.classify(marked.filter("split = 'train'"), marked.filter("split = 'test'"), "label", "logistic")
+    return rounded(tabular.weighted_scores(predicted), "accuracy", "precision", "recall", "f1")
+
+
 @query("K07_boosted_trees")
 def boosted_trees(spark, sf):
     """Gradient-boosted trees for document quality, from text statistics."""
