@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,7 +42,11 @@ ARROW_BYTES = 4 << 20
 
 
 def in_small_batches(df: DataFrame) -> DataFrame:
-    """``df``, from whose session Python workers get at most ``ARROW_BYTES`` at a time, or one row."""
+    """``df``, from whose session Python workers get at most ``ARROW_BYTES`` at a time, or one row.
+
+    They also find this library where the driver found it, unless they have a path of their own.
+    """
+    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return df
 
