@@ -227,6 +227,13 @@ def scan_record_files(spark, sf):
     return src.scan_record_files(spark, path, r"page=(\d+)/")
 
 
+@query("A07_scan_record_tars", "SELECT page_id AS file_id, html AS record FROM pages")
+def scan_record_tars(spark, sf):
+    """Pages packed into tar shards and streamed out of them again."""
+    pages = table(spark, sf, "pages").select(F.col("page_id").alias("file_id"), F.col("html").alias("record"))
+    return src.untar_records(src.tar_records(pages))
+
+
 _DATES = "dates AS (SELECT l_partkey AS paper_id, min(l_shipdate)::DATE AS day FROM lineitem GROUP BY ALL)"
 
 

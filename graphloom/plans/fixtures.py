@@ -1,6 +1,6 @@
 """Graphs derived from the driver tables, each with the same thing as SQL text.
 
-Every graph covers its whole source tables.  A derived graph is checkpointed
+Every graph covers its whole source tables.  A derived graph is written
 once per session and then shared by the queries that read it, as a graph
 loaded once would be.
 """
@@ -251,5 +251,5 @@ def forum_edges(spark: SparkSession, sf: str) -> DataFrame:
 
 @shared
 def forum(spark: SparkSession, sf: str) -> Graph:
-    """The typed graph, checkpointed: what a saved and reloaded graph would be."""
+    """The typed graph, written: what a saved and reloaded graph would be."""
     return Graph(cut(forum_vertices(spark, sf)), cut(forum_edges(spark, sf)))

@@ -82,20 +82,49 @@ def scan_record_files(spark: SparkSession, path: str, id_pattern: str = r"(\d+)\
 
 
 def scan_record_tars(spark: SparkSession, path: str) -> DataFrame:
-    """The same from tar archives, one archive per task, members streamed."""
+    """The same from a folder of tar archives, one archive per row; shard archives well below 2 GB,
+    the most that a row can hold (Spark raises beyond that)."""
+    return untar_records(spark.read.format("binaryFile").load(path).select("content"))
+
+
+def untar_records(archives: DataFrame, at_once: int = 500) -> DataFrame:
+    """Records of tar archives in the column ``content``; members are streamed in batches."""
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids: list[int] = []
+        records: list[str] = []
         for batch in batches:
             for content in batch["content"]:
                 with tarfile.open(fileobj=io.BytesIO(content), mode="r|*") as archive:
                     for member in archive:
-                        if member.isfile():
-                            stem = member.name.rsplit("/", 1)[-1].split(".")[0]
-                            text = archive.extractfile(member).read().decode("utf-8", "replace")
-                            yield pd.DataFrame({"file_id": [int(stem)], "record": [text]})
+                        if not member.isfile():
+                            continue
+                        ids.append(int(member.name.rsplit("/", 1)[-1].split(".")[0]))
+                        records.append(archive.extractfile(member).read().decode("utf-8", "replace"))
+                        if len(ids) == at_once:
+                            yield pd.DataFrame({"file_id": ids, "record": records})
+                            ids, records = [], []
+        yield pd.DataFrame({"file_id": pd.Series(ids, dtype="int64"), "record": pd.Series(records, dtype="object")})
+
+    return archives.select("content").mapInPandas(members, "file_id bigint, record string")
 
-    archives = spark.read.format("binaryFile").load(path).select("content")
-    return archives.mapInPandas(members, "file_id bigint, record string")
+
+def tar_records(records: DataFrame, members: int = 500) -> DataFrame:
+    """(content): rows (file_id, record) as tar archives of up to ``members`` files each."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for low in range(0, len(batch), members):
+                held = io.BytesIO()
+                with tarfile.open(fileobj=held, mode="w") as archive:
+                    for row in batch.iloc[low:low + members].itertuples():
+                        body = row.record.encode()
+                        entry = tarfile.TarInfo(f"records/{row.file_id}.txt")
+                        entry.size = len(body)
+                        archive.addfile(entry, io.BytesIO(body))
+                yield pd.DataFrame({"content": [held.getvalue()]})
+
+    return records.select("file_id", "record").mapInPandas(pack, "content binary")
 
 
 def scan_dates(spark: SparkSession, path: str, comment: str = "#") -> DataFrame:
