@@ -127,7 +127,23 @@ def _pack(buckets: int, common: np.ndarray):
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All rows of some buckets -> stretches of words to remove: (id, text_key, first, stop)."""
+    """Rows sorted by bucket -> stretches of words to remove: (id, text_key, first, stop); one bucket is in memory at a time."""
+    held: list[pa.RecordBatch] = []
+    current = None
+    for batch in batches:
+        bucket = batch.column("bucket").to_numpy()
+        cuts = np.flatnonzero(np.diff(bucket)) + 1
+        for low, high in zip([0, *cuts], [*cuts, len(bucket)], strict=True):
+            if held and bucket[low] != current:
+                yield from _compare_bucket(held)
+                held = []
+            current = bucket[low]
+            held.append(batch.slice(low, high - low))
+    if held:
+        yield from _compare_bucket(held)
+
+
+def _compare_bucket(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     blobs: list[bytes] = []  # strings stay packed until one of them can have an equal
     columns: list[list] = [[], [], [], []]
     places: list[np.ndarray] = []
@@ -239,7 +255,7 @@ def repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     packed = rows.mapInArrow(
         _pack(buckets, common_runs(rows, sizes["n"])),
         f"bucket int, blob binary, minimisers array<int>, ids array<{kind}>, text_keys array<int>, starts array<int>, windows array<int>")
-    found = packed.repartition(buckets, "bucket").mapInArrow(_compare, f"id {kind}, text_key int, first int, stop int")
+    found = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_compare, f"id {kind}, text_key int, first int, stop int")
     return found.groupBy("id", "text_key").agg(F.collect_list(F.struct("first", "stop")).alias("stretches"))
 
 
