@@ -136,7 +136,7 @@ comments AS (SELECT conv_id || '-' || turn AS comment_key, conv_id AS comment_po
 FORUM = (
     FORUM_TABLES
     + """,
-vertices AS (
+vertices AS MATERIALIZED (
   SELECT DISTINCT sha256('Post:' || post_key) AS id, 'Post' AS type, post_key::VARCHAR AS source_id, NULL AS vote_type FROM posts
   UNION ALL SELECT sha256('User:' || user_key), 'User', user_key::VARCHAR, NULL FROM users
   UNION ALL SELECT sha256('Vote:' || vote_key), 'Vote', vote_key, coalesce(label, 'Unknown')
@@ -145,7 +145,7 @@ vertices AS (
   UNION ALL SELECT sha256('Badge:' || badge_key), 'Badge', badge_key::VARCHAR, NULL FROM badges
   UNION ALL SELECT sha256('PostLinks:' || link_post), 'PostLinks', link_post::VARCHAR, NULL FROM links WHERE link_related IS NOT NULL
   UNION ALL SELECT sha256('Comment:' || comment_key), 'Comment', comment_key, NULL FROM comments),
-edges AS (
+edges AS MATERIALIZED (
   SELECT sha256('Vote:' || vote_key) AS src, sha256('Post:' || post_key) AS dst, 'CastFor' AS relationship
   FROM votes JOIN posts ON vote_post = post_key
   UNION ALL SELECT sha256('User:' || user_key), sha256('Post:' || post_key),
