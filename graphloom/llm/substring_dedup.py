@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - reached as pa.compute
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -103,7 +104,7 @@ def _pack(buckets: int, common: np.ndarray):
         squeeze = zstandard.ZstdCompressor(level=6)
         blobs = [squeeze.compress(b"\n".join([strings[p] for p in part.tolist()])) for part in parts]
         known = np.split(later, np.flatnonzero(np.diff(owner[later])) + 1) if len(later) else []
-        goes = [int(bucket[part[0]]) for part in parts] + [keys[owner[part[0]]][1] % buckets for part in known]
+        goes = [int(bucket[part[0]]) for part in parts] + [xxhash.xxh3_64_intdigest(repr(keys[owner[part[0]]])) % buckets for part in known]
         members = np.concatenate([early[order], later])
         ends = np.concatenate(([0], np.cumsum([len(p) for p in [*parts, *known]]))).astype(np.int32)
         own = owner[members]
