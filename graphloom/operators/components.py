@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from graphloom.functions.hashing import order_key
 from graphloom.graph import Graph, both_ways, edge_ends, undirected_pairs
-from graphloom.session import cut
+from graphloom.session import cut, discard
 
 
 def _signature(pairs: DataFrame):
@@ -31,7 +31,9 @@ def connected_components(graph: Graph) -> DataFrame:
     links = cut(undirected_pairs(graph.edges))
     last = _signature(links)
     while True:
-        links = cut(_small_star(_large_star(links)))
+        spent = [links]
+        links = cut(_small_star(_large_star(links, spent), spent))
+        discard(spent)
         now = _signature(links)
         if now == last:
             break
@@ -42,20 +44,28 @@ def connected_components(graph: Graph) -> DataFrame:
     )
 
 
-def _large_star(links: DataFrame) -> DataFrame:
-    """Point every larger neighbour of u at the smallest of u and its neighbours."""
+def _large_star(links: DataFrame, spent: list[DataFrame]) -> DataFrame:
+    """Point every larger neighbour of u at the smallest of u and its neighbours.
+
+    Tables that the result reads are added to ``spent``.
+    """
     ends = both_ways(links)
     # written, so that the join can split the links of a hub
     least = cut(ends.groupBy("src").agg(F.least(F.col("src"), F.min("dst")).alias("m")))
+    spent.append(least)
     moved = ends.filter("dst > src").join(least, "src").select(F.col("m").alias("src"), "dst")
     # repeats are folded by the small-star step that follows
     return moved.filter("src <> dst")
 
 
-def _small_star(links: DataFrame) -> DataFrame:
-    """Point u and its smaller neighbours at the smallest of them."""
+def _small_star(links: DataFrame, spent: list[DataFrame]) -> DataFrame:
+    """Point u and its smaller neighbours at the smallest of them; reads ``links`` once."""
+    # two readers: the minimum and the join
+    links = cut(links)
+    spent.append(links)
     # links come with src < dst, so dst is the centre and src a smaller neighbour
     least = cut(links.groupBy("dst").agg(F.min("src").alias("m")))
+    spent.append(least)
     moved = links.join(least, "dst").select(
         F.explode(F.array(
             F.struct(F.col("m").alias("src"), F.col("src").alias("dst")),

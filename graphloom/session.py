@@ -68,7 +68,23 @@ def cut(df: DataFrame) -> DataFrame:
     """
     path = shared_path(df.sparkSession, "cut")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._cut_path = path
+    return table
+
+
+def discard(tables: list[DataFrame]) -> None:
+    """Delete tables that ``cut`` wrote and that a loop has left behind; other frames are passed over.
+
+    Only for tables that nothing still to be computed reads.
+    """
+    for table in tables:
+        path = getattr(table, "_cut_path", None)
+        if path is not None:
+            spark = table.sparkSession
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    tables.clear()
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

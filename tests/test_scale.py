@@ -26,7 +26,7 @@ def test_a_hub_is_split_in_a_callers_session(spark):
                        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}.items():
         own.conf.set(key, value)
     links = hub(own)
-    moved = components._large_star(links)
+    moved = components._large_star(links, [])
     moved.write.format("noop").mode("overwrite").save()
     found = moved.select("src", "dst")
     found.collect()
