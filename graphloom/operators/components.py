@@ -53,7 +53,8 @@ def _large_star(links: DataFrame, spent: list[DataFrame]) -> DataFrame:
     # written, so that the join can split the links of a hub
     least = cut(ends.groupBy("src").agg(F.least(F.col("src"), F.min("dst")).alias("m")))
     spent.append(least)
-    moved = ends.filter("dst > src").join(least, "src").select(F.col("m").alias("src"), "dst")
+    # links are kept with src < dst, so they are the larger neighbours already
+    moved = links.join(least, "src").select(F.col("m").alias("src"), "dst")
     # repeats are folded by the small-star step that follows
     return moved.filter("src <> dst")
 
