@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from math import comb
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -163,16 +164,21 @@ def _cells(rows: DataFrame, group: str, count: str) -> DataFrame:
 
 
 def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
-    """Rows of one cell after the other, from rows sorted by cell and group."""
+    """Rows of one cell after the other, from rows sorted by cell and group.
+
+    Members come by their id, so what hangs together is named by its smallest id: the cells that a group has in
+    many bands then name the same links, and few of them are left to follow.
+    """
+    by_id = itemgetter("set_id")
     held: list[dict] = []
     for batch in row_batches(batches):
         for row in batch.to_pylist():
             if held and (held[-1]["cell"], held[-1]["whole"]) != (row["cell"], row["whole"]):
-                yield held
+                yield sorted(held, key=by_id)
                 held = []
             held.append(row)
     if held:
-        yield held
+        yield sorted(held, key=by_id)
 
 
 def _sides(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
