@@ -29,7 +29,7 @@ ROUNDS = 3
 #: pseudo-count of every piece
 SMOOTHING = 0.05
 #: words whose scores a worker keeps; beyond that it starts anew
-CACHE = 400_000
+CACHE = 250_000
 #: words in one lattice
 WORDS = 20_000
 NONE = "und"
