@@ -1,7 +1,7 @@
 """Benchmark decontamination by spaced-seed hashing, in DataFrame operations only.
 
 A seed is the hash of the words that a fixed mask leaves at one position; positions that the mask skips may
-differ.  Seeds of every benchmark item and of every document position are joined on the hash; each hit names a
+differ.  The masks for each length of item together hit every overlap that counts.  Seeds of every benchmark item and of every document position are joined on the hash; each hit names a
 diagonal (document position minus item position), along which the overlap is then verified word by word.
 """
 
@@ -15,8 +15,16 @@ from pyspark.sql import functions as F
 from graphloom.llm.common import document_key, fresh, text_of
 from graphloom.session import cut
 
-#: positions that count; ten words each, two or four of which may differ
-MASKS = ("1101100111", "1110010111")
+#: seeds of an item by its least number of words; 1 marks the positions that count.  No overlap that counts escapes
+#: them: n words without a hit hold more than n // 5 differing ones (tests/llm/test_native.py enumerates this)
+MASKS = {
+    5: ("1111", "11101", "11011", "10111"),
+    6: ("1111", "11011"),
+    7: ("11111", "111011", "110111"),
+    8: ("11111", "111011"),
+    10: ("11111", "111011", "11010011"),
+    12: ("11111", "111011"),
+}
 #: an overlap counts from this many equal words on, or from this part of a shorter item
 LEAST_WORDS, LEAST_PART = 13, 0.8
 #: worst part of differing words in an overlap is one in five
@@ -26,32 +34,33 @@ SHORTEST_ITEM = 5
 #: benchmark seeds up to this number (about 100 MB) are broadcast; beyond it both sides shuffle by the hash
 BROADCAST_SEEDS = 1_000_000
 
-SPAN = len(MASKS[0])
-
 
 def words(text: str) -> Column:
     """Lower-cased runs of letters and digits."""
     return F.regexp_extract_all(F.lower(text_of(text)), F.lit(r"[\p{L}\p{N}]+"), 0)
 
 
-def _seed(number: int, offsets: list[int]) -> Column:
-    return F.xxhash64(F.lit(number), *[F.expr(f"words[place + {o}]") for o in offsets])
+def _seed(number: int, mask: str) -> Column:
+    """Hash of what the mask leaves at ``place``; null where the mask reaches over the end."""
+    kept = [F.expr(f"words[place + {i}]") for i, kept in enumerate(mask) if kept == "1"]
+    return F.when(F.expr(f"place + {len(mask)} <= size(words)"), F.xxhash64(F.lit(number), *kept))
+
 
+def _kind() -> Column:
+    """Which masks an item of ``n`` words is sought by."""
+    return F.greatest(*[F.when(F.col("n") >= least, least) for least in MASKS], F.lit(0))
 
-def _seeds(rows: DataFrame, lengths: list[int]) -> list[DataFrame]:
-    """Rows with ``words`` -> the same with ``place`` and ``seed``, one for each position and mask.
 
-    ``lengths``: contiguous seeds for items shorter than the masks, a table for each.  The tables are joined one
-    by one: a join right behind the explode never writes down the words beside every seed.
+def _seeds(rows: DataFrame, kind: int) -> DataFrame:
+    """Rows with ``words`` -> the same with ``place`` and ``seed``, one for each position and mask of the kind.
+
+    The kinds are joined one by one: a join right behind the explode never writes down the words beside every seed.
     """
-    masks = [[i for i, kept in enumerate(mask) if kept == "1"] for mask in MASKS]
-    kept = rows.columns
-    long = rows.filter(F.size("words") >= SPAN).select(*kept, F.explode(F.expr(f"sequence(0, size(words) - {SPAN})")).alias("place"))
-    found = [long.select(*kept, "place", F.explode(F.array(*[_seed(n, m) for n, m in enumerate(masks)])).alias("seed"))]
-    for n in lengths:
-        short = rows.filter(F.size("words") >= n).select(*kept, F.explode(F.expr(f"sequence(0, size(words) - {n})")).alias("place"))
-        found.append(short.select(*kept, "place", _seed(100 + n, list(range(n))).alias("seed")))
-    return found
+    masks, kept = MASKS[kind], rows.columns
+    least = min(map(len, masks))
+    placed = rows.filter(F.size("words") >= least).select(*kept, F.explode(F.expr(f"sequence(0, size(words) - {least})")).alias("place"))
+    seeds = F.array(*[_seed(100 * kind + n, mask) for n, mask in enumerate(masks)])
+    return placed.select(*kept, "place", F.explode(seeds).alias("seed")).filter("seed is not null")
 
 
 def _best_segment() -> Column:
@@ -69,6 +78,21 @@ def _best_segment() -> Column:
                 'best', s.best, 'matched', s.matched, 'overlap', s.overlap) END)""")
 
 
+def _close_stretch() -> Column:
+    """(matched, overlap) of a stretch of ``equal`` with 13 agreeing words at least, four of five; null without one.
+
+    Any such stretch splits into parts of 13 to 25 agreeing words, one of which is as good, so 31 words are the longest to try.
+    """
+    longest = (2 * LEAST_WORDS - 1) * (MISMATCH + 1) // MISMATCH
+    state = "named_struct('same', 0, 'size', 0, 'matched', 0, 'overlap', 0)"
+    return F.expr(f"""
+        array_max(transform(sequence(1, size(equal)), i -> aggregate(slice(equal, i, {longest}), {state}, (s, e) -> named_struct(
+            'same', s.same + int(e), 'size', s.size + 1,
+            'matched', if(e AND s.same + 1 >= {LEAST_WORDS} AND (s.size - s.same) * {MISMATCH} <= s.same + 1, s.same + 1, s.matched),
+            'overlap', if(e AND s.same + 1 >= {LEAST_WORDS} AND (s.size - s.same) * {MISMATCH} <= s.same + 1, s.size + 1, s.overlap)),
+            s -> if(s.matched > 0, named_struct('matched', s.matched, 'overlap', s.overlap), NULL))))""")
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                  item_column: str = "item_id", item_text: str = "text") -> DataFrame:
     """(id, text_key, item, matched, overlap): documents and the benchmark items they overlap, best diagonal each.
@@ -82,8 +106,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
     """
     items = benchmark.select(F.col(item_column).alias("item"), words(item_text).alias("words"))
     items = items.withColumn("n", F.size("words")).filter(F.col("n") >= SHORTEST_ITEM)
-    lengths = [r["n"] for r in items.filter(F.col("n") < SPAN).select("n").distinct().orderBy("n").collect()]
-    seeds = cut(reduce(DataFrame.unionByName, _seeds(items, lengths))
+    items = items.withColumn("kind", _kind())
+    kinds = [r["kind"] for r in items.select("kind").distinct().orderBy("kind").collect()]
+    seeds = cut(reduce(DataFrame.unionByName, [_seeds(items.filter(F.col("kind") == k), k) for k in kinds or [max(MASKS)]])
                 .select("item", "seed", F.col("place").alias("item_place"), F.col("words").alias("item_words")))
 
     rows = docs.select(*document_key(id_column, text_column), words(text_column).alias("words"))
@@ -97,13 +122,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
         F.slice("item_words", first + 1, stop - first).alias("there"), F.size("item_words").alias("n")]
     if seeds.count() <= BROADCAST_SEEDS:
         hits = [part.join(F.broadcast(seeds), "seed").select("id", "text_key", "item", diagonal, "words", "item_words").select(*key, *along)
-                for part in _seeds(rows, lengths)]
+                for part in (_seeds(rows, k) for k in kinds or [max(MASKS)])]
         # hits on one diagonal are neighbours in one task and fold before the shuffle
         near = reduce(DataFrame.unionByName, hits).groupBy(*key).agg(*[F.first(c).alias(c) for c in ("here", "there", "n")])
     else:
         narrow = seeds.drop("item_words")
         hits = reduce(DataFrame.unionByName, [
-            part.drop("words").join(narrow, "seed").select("id", "text_key", "item", diagonal) for part in _seeds(rows, lengths)]).distinct()
+            part.drop("words").join(narrow, "seed").select("id", "text_key", "item", diagonal)
+            for part in (_seeds(rows, k) for k in kinds or [max(MASKS)])]).distinct()
         same = F.col("h.id").eqNullSafe(F.col("r.id")) & (F.col("h.text_key") == F.col("r.text_key"))
         near = (
             hits.alias("h").join(rows.dropDuplicates(["id", "text_key"]).alias("r"), same)
@@ -119,7 +145,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
         "id", "text_key", "item",
         # an item that agrees as a whole counts as a whole, wherever its differing words stand
         F.when(F.col("same") >= whole, F.struct(F.col("same").alias("matched"), F.size("equal").alias("overlap")))
-        .when(F.col("s.matched") >= F.least(F.lit(LEAST_WORDS), whole), F.struct("s.matched", "s.overlap")).alias("hit"),
+        .when(F.col("s.matched") >= F.least(F.lit(LEAST_WORDS), whole), F.struct("s.matched", "s.overlap"))
+        # the best stretch may be a shorter one, or four of five throughout and no better than none
+        .when(F.col("same") >= F.least(F.lit(LEAST_WORDS), whole), _close_stretch()).alias("hit"),
     ).filter("hit is not null")
     best = F.max("hit").alias("best")
     return scored.groupBy("id", "text_key", "item").agg(best).select("id", "text_key", "item", "best.matched", "best.overlap")

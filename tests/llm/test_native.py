@@ -42,6 +42,68 @@ def test_overlaps_tolerate_substitutions(spark):
     assert decontaminate.drop_contaminated(docs, table.limit(0)).count() == docs.count()
 
 
+def least_unhit(masks, upto):
+    """Fewest differing words among n that no mask hits, for n = 0 .. upto."""
+    span = max(map(len, masks))
+    bits = [int(m, 2) for m in masks]
+    states, found = {0: 0}, [0]
+    for _ in range(upto):
+        after = {}
+        for seen, cost in states.items():
+            for equal in (0, 1):
+                window = seen << 1 | equal
+                if not any(window & b == b for b in bits):
+                    key = window & (1 << span - 1) - 1
+                    after[key] = min(after.get(key, upto), cost + 1 - equal)
+        states = after
+        found.append(min(states.values()))
+    return found
+
+
+def test_masks_hit_every_overlap_that_counts():
+    """Up to a fifth of n words differ.  Beyond 60 words, cut off 15: both parts have more than a fifth, so the whole has."""
+    kinds = sorted(decontaminate.MASKS)
+    for kind, after in zip(kinds, [*kinds[1:], 61], strict=True):
+        found = least_unhit(decontaminate.MASKS[kind], 60)
+        assert all(found[n] > n // 5 for n in range(kind, after)), kind
+    assert kinds[0] == decontaminate.SHORTEST_ITEM
+
+
+def brute_overlap(here, there):
+    """Whether any diagonal counts."""
+    whole = -(-4 * len(there) // 5)
+    for shift in range(1 - len(there), len(here)):
+        equal = [here[shift + i] == w for i, w in enumerate(there) if 0 <= shift + i < len(here)]
+        if sum(equal) >= whole:
+            return True
+        for i in range(len(equal)):
+            same = 0
+            for j in range(i, len(equal)):
+                same += equal[j]
+                if same >= min(13, whole) and 5 * same >= 4 * (j - i + 1):
+                    return True
+    return False
+
+
+def test_overlaps_equal_a_scan_of_all_diagonals(spark):
+    rng = random.Random(5)
+    sizes = [*range(5, 18), 20, 25, 40, 59]
+    items = {n: words(900 + n, n) for n in sizes}
+    table = spark.createDataFrame([(n, " ".join(t)) for n, t in items.items()], "item_id long, text string")
+    texts = []
+    for n in sizes:
+        parts = [[i for i in range(n) if i % 5 == phase] for phase in range(5)]  # every fifth word
+        parts += [rng.sample(range(n), n // 5) for _ in range(8)] + [rng.sample(range(n), n // 5 + 1) for _ in range(2)]
+        for gone in parts:
+            copy = [f"x{i}" if i in gone else w for i, w in enumerate(items[n])]
+            texts.append(words(rng.random(), 9, 9999) + copy[:rng.choice([n, n, max(5, n - 7)])] + words(rng.random(), 9, 9999))
+    # twelve words in one piece, and apart from them thirteen of sixteen
+    texts.append([w if i < 12 or i >= 40 and i not in (44, 49, 53) else f"y{i}" for i, w in enumerate(items[59][:56])])
+    got = {(r["id"], r["item"]) for r in decontaminate.contaminated(frame(spark, rows([(i, " ".join(t), "en") for i, t in enumerate(texts)])), table).collect()}
+    want = {(i, n) for i, t in enumerate(texts) for n in sizes if brute_overlap(t, items[n])}
+    assert got == want and len(want) > 150
+
+
 def test_large_benchmarks_give_the_same(spark, monkeypatch):
     items, table = bench(spark)
     docs = frame(spark, rows([(1, "a b " + items[2][1], "en"), (1, "a b " + items[2][1], "en"), (None, items[4][1] + " z", "en"), (3, "clean", "en")]))
