@@ -20,8 +20,12 @@ from graphloom.llm.common import in_small_batches, row_batches, text_of
 
 #: labelled rows fitted on at most, the first by a hash of their id
 EXAMPLES = 10_000
-#: terms of the index at most, and the least chi-square with one degree of freedom that a term must reach
-TERMS, CHI_SQUARE = 256, 100.0
+#: a term is indexed from this squared correlation with the label on (chi-square over the number of examples), a measure
+#: that does not grow with the examples.  Squared correlations sum to at most the mean distinct terms of a toxic example
+#: plus those of a clean one, so the index holds at most 1 / PHI_SQUARE times that sum, however many examples there are.
+PHI_SQUARE = 0.01
+#: a term of a single example has no other to be near to
+LEAST_EXAMPLES = 2
 #: letters of a stem
 STEMS = (4, 5, 6)
 NEIGHBOURS = 15
@@ -161,9 +165,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
             F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
         cross = F.col("a") * (negative - F.col("b")) - F.col("b") * (positive - F.col("a"))
         rest = (F.col("a") + F.col("b")) * (n - F.col("a") - F.col("b"))
-        chi = F.when(rest > 0, n * cross.cast("double") * cross / (rest.cast("double") * positive * negative)).otherwise(0.0)
-        top = held.withColumn("chi", chi).filter(F.col("chi") >= CHI_SQUARE).orderBy(F.desc("chi"), "term").limit(TERMS)
-        terms = [r["term"] for r in top.select("term").collect()]
+        phi = F.when(rest > 0, cross.cast("double") * cross / (rest.cast("double") * positive * negative)).otherwise(0.0)
+        telling = held.filter((F.col("a") + F.col("b") >= LEAST_EXAMPLES) & (phi >= PHI_SQUARE))
+        terms = sorted(r["term"] for r in telling.select("term").collect())
     place = {t: i for i, t in enumerate(terms)}
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
         .groupBy("term").agg(F.sum("n").alias("n")).collect()
     found = {r["term"]: r["n"] for r in counted}
     idf = np.array([np.log((found.get(-1, 0) + 1.0) / (found.get(i, 0) + 1.0)) + 1.0 for i in range(len(terms))])
-    # uses by example: at most ``examples`` times TERMS numbers
+    # uses by example: at most ``examples`` times the indexed terms of a text
     kind = docs.schema[id_column].dataType.simpleString()
     rows = sample.mapInArrow(uses, f"id {kind}, label int, terms array<int>, counts array<int>").collect()
     sample.unpersist()

@@ -127,6 +127,22 @@ def test_toxic_documents_are_found(spark):
     assert {r["score"] for r in toxicity.classify(docs, labels.limit(0)).collect()} == {0.0}
 
 
+def test_toxic_documents_are_found_from_few_labels(spark):
+    rng = random.Random(8)
+    data, labels = [], []
+    for i in range(200):
+        t = [f"word{rng.randrange(3000)}" for _ in range(12)]
+        if i % 6 == 0:
+            t[5:5] = [rng.choice(["scum", "moron"]), "disgusting"]
+        data.append((i, " ".join(t), "en"))
+        if i < 90:
+            labels.append((i, int(i % 6 == 0)))
+    docs, labels = frame(spark, rows(data)), spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {r["id"]: r for r in toxicity.classify(docs, labels).collect()}
+    assert all(got[i]["predicted"] == int(i % 6 == 0) for i in range(200))
+    assert len({r["score"] for r in got.values()}) > 1
+
+
 def test_neighbours_are_exact():
     rng = np.random.default_rng(7)
     counts = [{int(t): int(rng.integers(1, 4)) for t in rng.choice(12, rng.integers(1, 5), replace=False)} for _ in range(500)]
