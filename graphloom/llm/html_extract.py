@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -179,26 +178,36 @@ def _host() -> Column:
     return F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+_FEATURES = "host string, page long, seen array<struct<path: string, kind: string, feature: long>>"
+
+
 def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages -> (host, path, kind, feature, pages): text blocks and child sequences with the pages that show them."""
-    for batch in row_batches(batches):
-        seen: Counter = Counter()
-        for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
+    """Pages -> (host, page, seen): text blocks and child sequences by path; ``page`` is the hash of all text that may be content."""
+    for batch in row_batches(batches, rows=200):
+        keys, ends, flat = [], [0], []
+        for source in batch.column("html").to_pylist():
             blocks, children = parse(source)
-            found = {(host, b.path, "text", xxhash.xxh3_64_intdigest(b.text) >> 1) for b in blocks}
-            found |= {(host, path, "style", xxhash.xxh3_64_intdigest(style) >> 1) for path, style in children.items()}
-            found |= {(host, path, "page", 0) for _, path, *_ in list(found)}
-            seen.update(found)
-        keys = list(seen)
-        yield pa.record_batch([
-            pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([k[2] for k in keys], pa.string()),
-            pa.array([k[3] for k in keys], pa.int64()), pa.array(list(seen.values()), pa.int64())], names=["host", "path", "kind", "feature", "pages"])
+            found = {(b.path, "text", xxhash.xxh3_64_intdigest(b.text) >> 1) for b in blocks}
+            found |= {(path, "style", xxhash.xxh3_64_intdigest(style) >> 1) for path, style in children.items()}
+            found |= {(path, "page", 0) for path, *_ in list(found)}
+            flat += sorted(found)
+            ends.append(len(flat))
+            keys.append(xxhash.xxh3_64_intdigest("\n".join(f"{b.path} {b.text}" for b in blocks if not b.no_content)) >> 1)
+        entries = pa.StructArray.from_arrays(
+            [pa.array([f[0] for f in flat], pa.string()), pa.array([f[1] for f in flat], pa.string()), pa.array([f[2] for f in flat], pa.int64())],
+            names=["path", "kind", "feature"])
+        yield pa.record_batch([batch.column("host"), pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)],
+                              names=["host", "page", "seen"])
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, importance) of every node with text, from (host, html)."""
-    counted = pages.mapInArrow(_observe, "host string, path string, kind string, feature long, pages long") \
-        .groupBy("host", "path", "kind", "feature").agg(F.sum("pages").alias("n"))
+    """(host, path, pages, importance) of every node with text, from (host, html).
+
+    Pages of one host with the same text are copies and count once: a copy says nothing about what a site repeats.
+    """
+    # of copies, the one with the least features: the same on any partitioning
+    counted = pages.mapInArrow(_observe, _FEATURES).groupBy("host", "page").agg(F.min("seen").alias("seen")) \
+        .select("host", F.inline("seen")).groupBy("host", "path", "kind", "feature").agg(F.count("*").alias("n"))
     text, style, page = F.col("kind") == "text", F.col("kind") == "style", F.col("kind") == "page"
     nodes = counted.groupBy("host", "path").agg(
         F.max(F.when(page, F.col("n"))).alias("pages"),
@@ -243,7 +252,7 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
 
     Blocks of the main content in page order, joined by newlines, white space inside a block as one space; an
     empty text where there is none, as for null or empty html.  Pages without an address share one host.  A host
-    with one page has no low branch.  Repeated rows count as pages of their own.  Very long pages are read whole;
+    with one page has no low branch.  Copies of a page on its host count as one page there, and all get their text.  Very long pages are read whole;
     an empty table gives an empty one; other columns play no part.
     """
     rows = in_small_batches(pages).select(F.col(id_column).alias("id"), F.col(url_column).alias("url"), text_of(html_column).alias("html")).withColumn("host", _host())

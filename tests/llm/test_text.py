@@ -245,3 +245,11 @@ def test_style_tree_finds_what_a_site_repeats(spark):
     assert text[(51, None)] == "" and text[(52, "no address")] == ""
     assert all(r["n_chars"] == len(r["text"]) for r in got)
     assert html_extract.extract(pages.limit(0)).count() == 0
+
+
+def test_copies_of_a_page_are_no_repetition(spark):
+    bare = "<body><div class='story'><p>One story.</p><p>Its end.</p></div></body>"
+    inside = "<body><nav>at {}</nav><article><div class='entry'><p>Some news.</p></div></article></body>"
+    data = [(i, f"https://a.example/{i}", bare) for i in range(30)] + [(100 + i, f"https://b.example/{i}", inside.format(i)) for i in range(2)]
+    got = html_extract.extract(spark.createDataFrame(data, "page_id long, url string, html string")).collect()
+    assert {(r["id"] < 100, r["text"]) for r in got} == {(True, "One story.\nIts end."), (False, "Some news.")} and len(got) == 32
