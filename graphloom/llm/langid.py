@@ -112,9 +112,13 @@ def _expected(sent, languages: list[str], vocabulary: str):
     return count
 
 
+#: words under so many bytes, and of at least this scaled probability, are summed without logarithms
+PLAIN_BYTES, PLAIN_LEAST = 64, 1e-200
+
+
 def posterior(net: lattice.Lattice, weights: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(piece, expected uses) of every arc, given how often each text occurs; texts too long for one scale are passed over."""
-    _, reach, _ = lattice.forward(net, weights)
+    """(piece, expected uses) of every arc, given how often each text occurs."""
+    _, reach, _ = lattice.forward(net, weights, PLAIN_BYTES)
     left = np.zeros(net.positions)
     left[net.final] = 1.0
     for group in reversed(net.by_end_and_length()):
@@ -122,9 +126,32 @@ def posterior(net: lattice.Lattice, weights: np.ndarray, times: np.ndarray) -> t
         np.add.at(left, net.start[group], left[net.end[group]] * gain)
     total = reach[net.final, 0]
     gain = weights[net.piece, 0] * lattice.PER_BYTE ** net.length.astype(float)
-    short = (net.sizes <= 64) & (total > 0)
-    part = np.where(short, times / np.where(total > 0, total, 1.0), 0.0)
-    return net.piece, reach[net.start, 0] * gain * left[net.end] * part[net.text]
+    short = (net.sizes < PLAIN_BYTES) & (total >= PLAIN_LEAST)
+    part = np.where(short, times / np.where(short, total, 1.0), 0.0)
+    with np.errstate(invalid="ignore", over="ignore"):
+        uses = np.where(short[net.text], reach[net.start, 0] * gain * left[net.end] * part[net.text], 0.0)
+    if not short.all():
+        hard = ~short[net.text]
+        uses[hard] = _log_posterior(net, weights, times, hard)
+    return net.piece, uses
+
+
+def _log_posterior(net: lattice.Lattice, weights: np.ndarray, times: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Expected uses of the chosen arcs, all arcs of some texts, by sums of logarithms, which no length makes vanish."""
+    arcs = np.flatnonzero(chosen)
+    with np.errstate(divide="ignore"):
+        gain = np.log(weights[net.piece, 0])
+    reach, left = np.full(net.positions, -np.inf), np.full(net.positions, -np.inf)
+    reach[net.first], left[net.final] = 0.0, 0.0
+    # in a group neither two starts nor two ends agree
+    groups = [arcs[low:high] for group in net.by_end_and_length()
+              for low, high in [np.searchsorted(arcs, (group.start, group.stop))] if high > low]
+    for g in groups:
+        reach[net.end[g]] = np.logaddexp(reach[net.end[g]], reach[net.start[g]] + gain[g])
+    for g in reversed(groups):
+        left[net.start[g]] = np.logaddexp(left[net.start[g]], left[net.end[g]] + gain[g])
+    total = reach[net.final][net.text[arcs]]
+    return np.exp(reach[net.start[arcs]] + gain[arcs] + left[net.end[arcs]] - total) * times[net.text[arcs]]
 
 
 class Scorer:
@@ -156,9 +183,12 @@ class Scorer:
             self.learn(missing)
         row = self.row
         flat = np.fromiter((row[w] for words in split for w in words), np.int64)
-        ends = np.cumsum([len(words) for words in split])
-        sums = np.concatenate((np.zeros((1, self.scores.shape[1])), np.cumsum(self.scores[flat], axis=0)))
-        return sums[ends] - sums[np.concatenate(([0], ends[:-1]))]
+        sizes = np.array([len(words) for words in split], np.int64)
+        # each text is summed by itself
+        sums, some = np.zeros((len(split), self.scores.shape[1])), sizes > 0
+        if some.any():
+            sums[some] = np.add.reduceat(self.scores[flat], (np.cumsum(sizes) - sizes)[some], axis=0)
+        return sums
 
 
 _SCORERS: dict[str, Scorer] = {}

@@ -124,23 +124,28 @@ class Lattice:
 PER_BYTE = 24.0
 
 
-def forward(lattice: Lattice, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def forward(lattice: Lattice, weights: np.ndarray, every: int = 16) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sum over all segmentations: (log total per text and column, scaled sums per position, log scale per text).
 
-    ``weights``: probability of each piece, one column per model.  Sums are rescaled on the way through a long text.
+    ``weights``: probability of each piece, one column per model.  Sums are rescaled on the way through a long text,
+    each ``every`` bytes: unseen bytes of 1e-9 cannot underflow in between.
     """
     columns = weights.shape[1]
     reach = np.zeros((lattice.positions, columns))
     reach[lattice.first] = 1.0
     scale = np.zeros((len(lattice.sizes), columns))
-    since, window = 0, 64
+    since, window, furthest = 0, int(lattice.length.max(initial=1)), None
     for group in lattice.by_end_and_length():
         place = int(lattice.place[group.start])
-        if place - since >= window:
-            # divide what later arcs can still start from by the largest sum in reach
+        if place - since >= every:
+            # divide by the largest sum that an arc to come starts from; what lies behind may be far larger
             since = place
+            if furthest is None:
+                furthest = np.zeros(lattice.positions, np.int64)
+                np.maximum.at(furthest, lattice.start, lattice.place)
             texts = np.flatnonzero(lattice.sizes >= place)
             near = lattice.first[texts][:, None] + np.arange(max(0, place - window), place)
+            reach[near] *= (furthest[near] >= place)[:, :, None]
             most = reach[near].max(axis=1)
             most[most <= 0] = 1.0
             reach[near] /= most[:, None, :]

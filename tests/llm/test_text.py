@@ -253,3 +253,23 @@ def test_copies_of_a_page_are_no_repetition(spark):
     data = [(i, f"https://a.example/{i}", bare) for i in range(30)] + [(100 + i, f"https://b.example/{i}", inside.format(i)) for i in range(2)]
     got = html_extract.extract(spark.createDataFrame(data, "page_id long, url string, html string")).collect()
     assert {(r["id"] < 100, r["text"]) for r in got} == {(True, "One story.\nIts end."), (False, "Some news.")} and len(got) == 32
+
+
+def test_long_words_teach_and_are_scored():
+    vocabulary = lattice.load(langid.VOCABULARY)
+    rare = "".join(chr(0x4E00 + 37 * i) for i in range(400))  # most of them spelled by bytes
+    model = np.full((vocabulary.size, 2), 1e-9)
+    model[:, 1] = 1.0 / vocabulary.size
+    totals = lattice.forward(lattice.Lattice(vocabulary, langid.spell([rare, rare[:30], "word"])), model)[0]
+    assert np.isfinite(totals).all() and (totals[:, 1] > totals[:, 0]).all()
+    scorer = langid.Scorer(model, langid.VOCABULARY)
+    texts = ["word and word", rare, None, "other words here", "", rare + " word", "last"]
+    together = scorer.texts(texts)
+    assert np.isfinite(together).all()
+    for text, sums in zip(texts, together, strict=True):
+        assert np.allclose(scorer.texts([text])[0], sums)
+    net = lattice.Lattice(vocabulary, langid.spell([rare, "short"]))
+    for column in (0, 1):
+        pieces, uses = langid.posterior(net, model[:, [column]], np.array([2.0, 1.0]))
+        spelled = np.bincount(net.text, uses * net.length, minlength=2)
+        assert np.allclose(spelled, [2.0 * net.sizes[0], net.sizes[1]])  # every byte is spelled as often as the word occurs
