@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from graphloom.llm import (
+    bpe,
     decontaminate,
     exact_dedup,
     html_extract,
@@ -106,3 +107,9 @@ def op4(spark, sf_dir):
 @query("op3_html_extract")
 def op3(spark, sf_dir):
     return html_extract.extract(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+@query("op11_bpe")
+def op11(spark, sf_dir):
+    found = bpe.round_trip(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
