@@ -12,6 +12,7 @@ from graphloom.llm import (
     langid,
     licenses,
     ngram_join,
+    prefix_trie,
     sentencepiece_fst,
     sharding,
     substring_dedup,
@@ -113,3 +114,41 @@ def op3(spark, sf_dir):
 def op11(spark, sf_dir):
     found = bpe.round_trip(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("op12_prefix_trie", r"""
+    WITH table_ AS (
+        SELECT list(list_reduce(list_concat([n], range(8)), (a, b) -> CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY n) AS t
+        FROM range(256) AS bytes(n)),
+    own AS MATERIALIZED (
+        SELECT conv_id AS c, list(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))
+                   ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS own_turns,
+               list(length(coalesce(text, '')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS own_sizes
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    hashed AS MATERIALIZED (
+        SELECT own.*, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(c::VARCHAR) + 1), i -> ascii(substr(c::VARCHAR, i, 1))::BIGINT)),
+                   (a, b) -> xor(a >> 8, t[xor(a & 255, b) + 1])), 4294967295) % 6 AS h
+        FROM own, table_),
+    conv AS MATERIALIZED (
+        SELECT a.c, list_concat(coalesce(g.own_turns[1:a.h], []), a.own_turns[a.h + 1:]) AS turns,
+               list_concat(coalesce(g.own_sizes[1:a.h], []), a.own_sizes[a.h + 1:]) AS sizes
+        FROM hashed a LEFT JOIN own g ON g.c = a.c - a.c % 100),
+    member AS MATERIALIZED (
+        SELECT c, d, turns[1:d] AS path, len(turns) = d AS ends, CASE WHEN d = 0 THEN 0 ELSE sizes[d] END AS size
+        FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM conv)),
+    node AS MATERIALIZED (
+        SELECT d, path, min(c) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+               sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+        FROM member GROUP BY d, path),
+    children AS (SELECT path[1:d - 1] AS path, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+    weighed AS (
+        SELECT d, node.path, (n_convs - 1) * size AS weight, n IS NULL AS leaf FROM node LEFT JOIN children USING (path)),
+    below AS (
+        SELECT path[1:up] AS path, sum(weight) AS saved, sum(leaf::BIGINT) AS leaves
+        FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM weighed) GROUP BY path[1:up])
+    SELECT node.conv_id, node.d::BIGINT AS depth, parent.conv_id AS parent_conv_id, node.n_convs, coalesce(children.n, 0)::BIGINT AS n_children,
+           leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, node.ends_sha256
+    FROM node LEFT JOIN node parent ON node.d > 0 AND parent.d = node.d - 1 AND parent.path = node.path[1:node.d - 1]
+    LEFT JOIN children ON children.path = node.path JOIN below ON below.path = node.path""")
+def op12(spark, sf_dir):
+    return prefix_trie.shared_head_trie(table(spark, sf_dir, "conversations"))
