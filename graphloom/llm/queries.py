@@ -118,7 +118,7 @@ def op11(spark, sf_dir):
 
 @query("op12_prefix_trie", r"""
     WITH table_ AS (
-        SELECT list(list_reduce(list_concat([n], range(8)), (a, b) -> CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY n) AS t
+        SELECT list(list_reduce(list_concat([n], range(8)), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY n) AS t
         FROM range(256) AS bytes(n)),
     own AS MATERIALIZED (
         SELECT conv_id AS c, list(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))
@@ -126,8 +126,8 @@ def op11(spark, sf_dir):
                list(length(coalesce(text, '')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS own_sizes
         FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
     hashed AS MATERIALIZED (
-        SELECT own.*, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(c::VARCHAR) + 1), i -> ascii(substr(c::VARCHAR, i, 1))::BIGINT)),
-                   (a, b) -> xor(a >> 8, t[xor(a & 255, b) + 1])), 4294967295) % 6 AS h
+        SELECT own.*, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(c::VARCHAR) + 1), lambda i: ascii(substr(c::VARCHAR, i, 1))::BIGINT)),
+                   lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1])), 4294967295) % 6 AS h
         FROM own, table_),
     conv AS MATERIALIZED (
         SELECT a.c, list_concat(coalesce(g.own_turns[1:a.h], []), a.own_turns[a.h + 1:]) AS turns,
