@@ -17,6 +17,7 @@ from graphloom.llm import (
     sharding,
     substring_dedup,
     toxicity,
+    vector_codes,
 )
 from graphloom.llm.common import table
 
@@ -152,3 +153,39 @@ def op11(spark, sf_dir):
     LEFT JOIN children ON children.path = node.path JOIN below ON below.path = node.path""")
 def op12(spark, sf_dir):
     return prefix_trie.shared_head_trie(table(spark, sf_dir, "conversations"))
+
+
+def _quantised(rounds: int) -> str:
+    """SQL of the codes, one table for each round's codebooks."""
+    def nearest(n: int) -> str:
+        return f"""a{n} AS MATERIALIZED (
+        SELECT r, p, arg_min(k, gap * 16 + k) AS k, min(gap) AS gap FROM (
+            SELECT r, part.p, k, list_sum(list_transform(list_zip(part.v, b{n}.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS gap
+            FROM part JOIN b{n} USING (p)) GROUP BY r, p),"""
+
+    steps = "".join(nearest(n) + f"""
+    m{n} AS (
+        SELECT p, k, list((s - ((s % c) + c) % c) // c ORDER BY i)::BIGINT[] AS v FROM (
+            SELECT p, k, i, sum(x) AS s, count(*) AS c FROM (
+                SELECT p, k, generate_subscripts(v, 1) AS i, unnest(v) AS x FROM a{n} JOIN part USING (r, p)) GROUP BY p, k, i) GROUP BY p, k),
+    b{n + 1} AS MATERIALIZED (SELECT p, k, coalesce(m{n}.v, b{n}.v) AS v FROM b{n} LEFT JOIN m{n} USING (p, k)),
+    """ for n in range(rounds))
+    return f"""
+    WITH kept AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+               list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS e
+        FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    part AS MATERIALIZED (SELECT r, p, e[p * len(e) // 8 + 1:(p + 1) * len(e) // 8] AS v FROM kept, range(8) AS of(p)),
+    b0 AS (SELECT p, r - 1 AS k, v FROM part WHERE r <= 16),
+    {steps}{nearest(rounds)}
+    book AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, k)) AS codebooks_sha256 FROM b{rounds}),
+    coded AS (
+        SELECT r, string_agg(lpad(lower(hex(k)), 2, '0'), '' ORDER BY p) AS code, sum(gap)::BIGINT AS error
+        FROM (SELECT r, p, k::BIGINT AS k, gap FROM a{rounds}) GROUP BY r)
+    SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+    FROM kept JOIN coded USING (r), book"""
+
+
+@query("op13_vector_codes", _quantised(6))
+def op13(spark, sf_dir):
+    return vector_codes.compress(table(spark, sf_dir, "embeddings")).drop("label").withColumnRenamed("id", "vec_id")
