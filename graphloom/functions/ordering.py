@@ -60,22 +60,24 @@ def first_by_key(df: DataFrame, key: Column, ties: list[str], n: int) -> DataFra
     return dense_index(near, ["_key", *ties], "_at").filter(F.col("_at") < n).drop("_key", "_at")
 
 
-def running_totals(df: DataFrame, keys: list, values: dict[str, str]) -> DataFrame:
-    """Inclusive running sum of each column in ``values`` (source -> result) by ``keys``.
+def running_totals(df: DataFrame, keys: list, values: dict[str, str], total: str = "sum") -> DataFrame:
+    """Inclusive running sum (or ``bit_xor``) of each column in ``values`` (source -> result) by ``keys``.
 
     ``keys`` must be unique per row; callers group by them first, which also
     turns a value that holds a third of all rows into one row.
     """
+    add = getattr(F, total)
     placed = cut(df.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id()))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = placed.groupBy("_part").agg(*[F.sum(c).alias(f"_s_{c}") for c in values])
+    sums = placed.groupBy("_part").agg(*[add(c).alias(f"_s_{c}") for c in values])
     offsets = sums.select(
-        "_part", *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in values]
+        "_part", *[F.coalesce(add(f"_s_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in values]
     )
     upto = Window.partitionBy("_part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
     out = placed.join(F.broadcast(offsets), "_part")
     for source, result in values.items():
-        out = out.withColumn(result, F.sum(source).over(upto) + F.col(f"_o_{source}"))
+        here, offset = add(source).over(upto), F.col(f"_o_{source}")
+        out = out.withColumn(result, here + offset if total == "sum" else here.bitwiseXOR(offset))
     return out.drop("_part", *[f"_o_{c}" for c in values])
 
 

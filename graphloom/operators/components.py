@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.functions.hashing import order_key
+from graphloom.functions.ordering import dense_index, next_value, running_totals
 from graphloom.graph import Graph, both_ways, edge_ends, undirected_pairs
 from graphloom.session import cut, discard
 
@@ -96,73 +97,67 @@ def largest_component(graph: Graph, components: DataFrame | None = None) -> Grap
 # --- strong components ------------------------------------------------------------------------
 
 
-def _spread_min(labels: DataFrame, edges: DataFrame, hops: int) -> DataFrame:
-    """Take the smallest label among a vertex and its predecessors, ``hops`` times."""
-    for _ in range(hops):
-        sent = edges.join(labels.withColumnRenamed("id", "src"), "src").select(F.col("dst").alias("id"), "color")
-        labels = labels.unionByName(sent).groupBy("id").agg(F.min("color").alias("color"))
-    return labels
-
-
-def _checksum(df: DataFrame):
-    return df.agg(F.count("*"), F.bit_xor(F.xxhash64(*df.columns))).first()
-
-
-def strongly_connected_components(graph: Graph, hops: int = 3) -> DataFrame:
+def strongly_connected_components(graph: Graph, seed: int = 31337) -> DataFrame:
     """(id, scc), named by the smallest id of the component.
 
-    Forward colouring: every open vertex takes the smallest id that reaches it.
-    Inside one colour, the vertices that reach the colour's owner form its strong
-    component; they are closed and the rest goes on.  Vertices without an open
-    predecessor or successor are components of their own and close first.
+    Many pivots at once.  Vertices are put in a random order.  Each takes the first vertex that reaches it and the
+    first that it reaches; where both are the same vertex, it belongs to that one's component and is closed.  Members of
+    one component agree on both, so links between vertices that differ in either go, and the rest goes on: all
+    parts together, in about log n rounds as a random order halves the parts, however many components there are.
+    Vertices without a predecessor or a successor left are components of their own.
     """
-    done: list[DataFrame] = []
-    open_ids = cut(graph.vertices.select("id").distinct())
-    remaining = open_ids.count()
-    edges = cut(graph.edges.select("src", "dst").filter("src <> dst").distinct())
+    ranked = cut(dense_index(graph.vertices.select("id").distinct().withColumn("_key", order_key(seed, "id")), ["_key", "id"], "rank").select("id", "rank"))
+    edges = cut(
+        graph.edges.select("src", "dst").filter("src <> dst").distinct()
+        .join(ranked.select(F.col("id").alias("src"), F.col("rank").alias("a")), "src")
+        .join(ranked.select(F.col("id").alias("dst"), F.col("rank").alias("b")), "dst").select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    closed: list[DataFrame] = []
     while True:
-        # trim ends of the open part until nothing falls off
-        while True:
-            core = edges.select(F.col("src").alias("id")).distinct().join(
-                edges.select(F.col("dst").alias("id")).distinct(), "id", "left_semi"
-            )
-            core = cut(core)
-            size = core.count()
-            if size == remaining:
-                break
-            done.append(open_ids.join(core, "id", "left_anti").select("id", F.col("id").alias("scc")))
-            open_ids, remaining = core, size
-            edges = cut(_inside(edges, core))
-        if remaining == 0:
+        # an open vertex has links both ways; all others are components of their own
+        ids = cut(edges.select(F.col("src").alias("id")).distinct().join(edges.select(F.col("dst").alias("id")).distinct(), "id", "left_semi"))
+        if ids.isEmpty():
             break
-        labels, last = open_ids.select("id", F.col("id").alias("color")), None
-        while True:
-            labels = cut(_spread_min(labels, edges, hops))
-            now = _checksum(labels)
-            if now == last:
-                break
-            last = now
-        # edges inside one colour, turned round
-        back = cut(
-            edges.join(labels.select(F.col("id").alias("src"), F.col("color").alias("_a")), "src")
-            .join(labels.select(F.col("id").alias("dst"), F.col("color").alias("_b")), "dst")
-            .filter("_a = _b").select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-        )
-        reached, count = labels.filter("id = color"), -1
-        while True:
-            reached = cut(_spread_min(reached, back, hops))
-            size = reached.count()
-            if size == count:
-                break
-            count = size
-        done.append(reached.select("id", F.col("color").alias("scc")))
-        open_ids = cut(open_ids.join(reached, "id", "left_anti"))
-        remaining = open_ids.count()
-        edges = cut(_inside(edges, open_ids))
-    out = done[0] if done else open_ids.select("id", F.col("id").alias("scc"))
-    for piece in done[1:]:
-        out = out.unionByName(piece)
-    return out
+        kept = cut(_inside(edges, ids))
+        labels = _first_both_ways(ids, kept)
+        closed.append(cut(labels.filter("f = b").select("id", F.col("f").alias("head"))))
+        left = labels.filter("f <> b")
+        after = cut(
+            kept.join(left.select(F.col("id").alias("src"), F.col("f").alias("f1"), F.col("b").alias("b1")), "src")
+            .join(left.select(F.col("id").alias("dst"), "f", "b"), "dst").filter("f = f1 AND b = b1").select("src", "dst"))
+        discard([edges, kept, ids, labels])
+        edges = after
+    heads = ranked.select("id", "rank", F.col("rank").alias("head"))
+    if closed:
+        found = closed[0]
+        for more in closed[1:]:
+            found = found.unionByName(more)
+        heads = ranked.join(found.select(F.col("id").alias("rank"), "head"), "rank", "left").select("id", "rank", F.coalesce("head", "rank").alias("head"))
+    names = cut(heads.groupBy("head").agg(F.min("id").alias("scc")))
+    return heads.join(names, "head").select("id", "scc")
+
+
+def _first_both_ways(ids: DataFrame, edges: DataFrame) -> DataFrame:
+    """(id, f, b): the smallest number that reaches each vertex, and the smallest that it reaches, itself included.
+
+    A round takes the labels of neighbours and then the label of the own label's vertex: what reaches my label
+    reaches me.  The reach so grows by a factor in most rounds, and not by one link.
+    """
+    labels, last = cut(ids.select("id", F.col("id").alias("f"), F.col("id").alias("b"))), None
+    while True:
+        down = edges.join(labels.select(F.col("id").alias("src"), "f"), "src").select(F.col("dst").alias("id"), "f", F.col("dst").alias("b"))
+        up = edges.join(labels.select(F.col("id").alias("dst"), "b"), "dst").select(F.col("src").alias("id"), F.col("src").alias("f"), "b")
+        # a popular label is a hot key: the side it is looked up in is written, so Spark may split the other
+        near = cut(labels.unionByName(down).unionByName(up).groupBy("id").agg(F.min("f").alias("f"), F.min("b").alias("b")))
+        jumped = (
+            near.join(near.select(F.col("id").alias("f"), F.col("f").alias("ff")), "f")
+            .join(near.select(F.col("id").alias("b"), F.col("b").alias("bb")), "b").select("id", F.col("ff").alias("f"), F.col("bb").alias("b")))
+        fresh = cut(jumped)
+        discard([labels, near])
+        labels = fresh
+        now = labels.agg(F.sum(F.col("f").cast("decimal(38,0)")), F.sum(F.col("b").cast("decimal(38,0)"))).first()
+        if now == last:
+            return labels
+        last = now
 
 
 def _inside(edges: DataFrame, ids: DataFrame) -> DataFrame:
@@ -174,70 +169,85 @@ def _inside(edges: DataFrame, ids: DataFrame) -> DataFrame:
 # --- bridges ----------------------------------------------------------------------------------
 
 
-def spanning_forest(graph: Graph, components: DataFrame) -> DataFrame:
-    """(id, depth, parent) of breadth-first trees from each component's smallest id."""
-    ends = cut(both_ways(undirected_pairs(graph.edges)))
-    seen = components.filter("id = component").select(
-        "id", F.lit(0).alias("depth"), F.lit(None).cast(components.schema["id"].dataType).alias("parent")
-    )
-    seen, frontier, depth = cut(seen), None, 0
-    frontier, layers = seen, [seen]
-    while True:
-        depth += 1
-        found = (
-            ends.join(frontier.select(F.col("id").alias("src")), "src")
-            .groupBy(F.col("dst").alias("id")).agg(F.min("src").alias("parent"))
-            .join(seen, "id", "left_anti")
-            .select("id", F.lit(depth).alias("depth"), "parent")
-        )
-        frontier = cut(found)
-        if frontier.isEmpty():
-            break
-        layers.append(frontier)
-        # in an undirected breadth-first search only the last two layers can be met again
-        seen = layers[-1].select("id").unionByName(layers[-2].select("id"))
-    forest = layers[0]
-    for layer in layers[1:]:
-        forest = forest.unionByName(layer)
-    return cut(forest)
+def spanning_forest(pairs: DataFrame, seed: int = 31337) -> tuple[DataFrame, DataFrame]:
+    """Links (src, dst) of a spanning forest of undirected pairs, and (id, root) of the vertices they touch.
+
+    Boruvka's rounds: every part takes its first link outwards in a random order, parts that meet become one, and of the
+    links between two parts the first is kept.  Chains of parts are short in a random order and are followed by
+    doubling, so the rounds grow with the logarithm of the vertices, not with the depth of the graph.
+    """
+    roots = cut(edge_ends(pairs).select("id", F.col("id").alias("root")))
+    links = cut(pairs.select(F.col("src").alias("p"), F.col("dst").alias("q"), F.struct(order_key(seed, "src", "dst").alias("key"), "src", "dst").alias("link")))
+    chosen: list[DataFrame] = []
+    while not links.isEmpty():
+        ends = links.select(F.explode(F.array(F.struct("p", "q"), F.struct(F.col("q").alias("p"), F.col("p").alias("q")))).alias("e"), "link").select("e.p", "e.q", "link")
+        first = cut(ends.groupBy("p").agg(F.min(F.struct("link", "q")).alias("first")).select("p", F.col("first.q").alias("up"), "first.link"))
+        chosen.append(cut(first.select("link.src", "link.dst").distinct()))
+        # two parts that chose each other: the smaller name stays
+        back = first.select(F.col("p").alias("up"), F.col("up").alias("again"))
+        heads = cut(first.join(back, "up").select("p", F.when((F.col("again") == F.col("p")) & (F.col("p") < F.col("up")), F.col("p")).otherwise(F.col("up")).alias("up")))
+        while True:
+            further = cut(heads.join(heads.select(F.col("p").alias("up"), F.col("up").alias("top")), "up").select("p", F.col("top").alias("up"), (F.col("up") != F.col("top")).alias("moved")))
+            discard([heads])
+            done, heads = further.filter("moved").isEmpty(), further.select("p", "up")
+            heads._cut_path = further._cut_path
+            if done:
+                break
+        a, b = heads.select("p", F.col("up").alias("a")), heads.select(F.col("p").alias("q"), F.col("up").alias("b"))
+        joined = links.join(a, "p").join(b, "q").filter("a <> b")
+        fresh = cut(joined.groupBy(F.least("a", "b").alias("p"), F.greatest("a", "b").alias("q")).agg(F.min("link").alias("link")))
+        named = cut(roots.join(heads.withColumnRenamed("p", "root"), "root", "left").select("id", F.coalesce("up", "root").alias("root")))
+        discard([links, roots, first, heads])
+        links, roots = fresh, named
+    tree = pairs.select("src", "dst").filter(F.lit(False))
+    for part in chosen:
+        tree = tree.unionByName(part)
+    return cut(tree), roots
+
+
+def tour_order(tree: DataFrame, roots: DataFrame) -> DataFrame:
+    """(src, dst, root, left): the Euler tour of every tree, each link once a way, and the steps left to the tour's end.
+
+    A step into v from u is followed by the one to v's next neighbour after u; at the root the last one ends the tour.
+    Steps are counted by pointer doubling.
+    """
+    arcs = cut(both_ways(tree))
+    following = next_value(arcs, "src", ["dst"], "dst", "next")
+    first = cut(arcs.groupBy("src").agg(F.min("dst").alias("first")).join(roots.select(F.col("id").alias("src"), "root"), "src"))
+    turns = following.join(first, "src").select(
+        F.col("dst").alias("src"), F.col("src").alias("dst"), "root",
+        F.coalesce("next", F.when(F.col("src") != F.col("root"), F.col("first"))).alias("to"))
+    # a step is known by its two ends; the last of a tour has none after it
+    state = cut(turns.select("src", "dst", "root", F.when(F.col("to").isNotNull(), F.col("dst")).alias("na"), F.col("to").alias("nb"), F.when(F.col("to").isNotNull(), 1).otherwise(0).cast("bigint").alias("left")))
+    while not state.filter("na IS NOT NULL").isEmpty():
+        ahead = state.select(F.col("src").alias("na"), F.col("dst").alias("nb"), F.col("na").alias("xa"), F.col("nb").alias("xb"), F.col("left").alias("more"))
+        fresh = cut(state.join(ahead, ["na", "nb"], "left").select(
+            "src", "dst", "root", F.col("xa").alias("na"), F.col("xb").alias("nb"), (F.col("left") + F.coalesce("more", F.lit(0))).alias("left")))
+        discard([state])
+        state = fresh
+    return state.select("src", "dst", "root", "left")
 
 
 def bridges(graph: Graph, seed: int = 31337) -> DataFrame:
-    """Undirected pairs whose removal splits their component.
+    """Undirected pairs whose removal splits their component, after Tarjan and Vishkin.
 
-    Every pair outside the breadth-first forest closes one cycle and gets a random
-    128-bit label; a vertex carries the xor of its labels and passes it up the tree.
-    Labels of cycles that lie wholly below cancel out, so the xor that arrives at a
-    tree pair is zero exactly when no cycle covers it (short of a 128-bit collision).
+    On the Euler tour of any spanning forest a subtree is a stretch.  Every pair outside the forest gets a random
+    128-bit label at both ends; a label whose ends lie in one stretch cancels out, so the exclusive-or over a stretch
+    (the difference of two running totals) is zero exactly when no pair leaves the subtree (short of a 128-bit
+    collision): then the link above it is a bridge.  Rounds grow with the logarithm of the vertices.
     """
-    pairs = undirected_pairs(graph.edges)
-    forest = spanning_forest(graph, cut(connected_components(Graph(edge_ends(pairs), pairs))))
-    tree = forest.filter("parent IS NOT NULL").select(
-        F.least("id", "parent").alias("src"), F.greatest("id", "parent").alias("dst")
-    )
+    pairs = cut(undirected_pairs(graph.edges))
+    tree, roots = spanning_forest(pairs, seed)
+    tour = cut(tour_order(tree, roots).withColumn("low", F.least("src", "dst")).withColumn("high", F.greatest("src", "dst")))
     label = order_key(seed, "src", "dst")
     high = F.conv(F.substring(label, 1, 15), 16, 10).cast("bigint").alias("x1")
     low = F.conv(F.substring(label, 17, 15), 16, 10).cast("bigint").alias("x2")
     extra = both_ways(pairs.join(tree, ["src", "dst"], "left_anti").select("src", "dst", high, low))
-    own = extra.groupBy(F.col("src").alias("id")).agg(F.bit_xor("x1").alias("x1"), F.bit_xor("x2").alias("x2"))
-    state = cut(forest.join(own, "id", "left").fillna(0, ["x1", "x2"]))
-    deepest = state.agg(F.max("depth")).first()[0] or 0
-    carried, covered = None, []
-    for depth in range(deepest, 0, -1):
-        layer = state.filter(F.col("depth") == depth).select("id", "parent", "x1", "x2")
-        if carried is not None:
-            layer = (
-                layer.join(carried, "id", "left")
-                .select("id", "parent", *[F.col(x).bitwiseXOR(F.coalesce(f"c{x}", F.lit(0))).alias(x) for x in ("x1", "x2")])
-            )
-        layer = cut(layer)
-        covered.append(layer)
-        carried = layer.groupBy(F.col("parent").alias("id")).agg(F.bit_xor("x1").alias("cx1"), F.bit_xor("x2").alias("cx2"))
-    if not covered:
-        return pairs.filter(F.lit(False))
-    whole = covered[0]
-    for layer in covered[1:]:
-        whole = whole.unionByName(layer)
-    return whole.filter("x1 = 0 AND x2 = 0").select(
-        F.least("id", "parent").alias("src"), F.greatest("id", "parent").alias("dst")
-    )
+    own = extra.groupBy(F.col("src").alias("dst")).agg(F.bit_xor("x1").alias("x1"), F.bit_xor("x2").alias("x2"))
+    # of a link's two steps, the earlier one (more steps left) enters the subtree
+    entries = cut(tour.groupBy("low", "high").agg(F.max(F.struct("left", "dst")).alias("e")).select("low", "high", F.col("e.dst").alias("dst")).join(own, "dst"))
+    steps = tour.join(entries, ["low", "high", "dst"], "left").fillna(0, ["x1", "x2"]).withColumn("place", -F.col("left"))
+    summed = running_totals(steps.select("low", "high", "root", "place", "x1", "x2"), ["root", "place"], {"x1": "t1", "x2": "t2"}, "bit_xor")
+    # the running total at the last step of a stretch, without that before its first: the first one's own is in its total
+    over = summed.groupBy("low", "high").agg(*[F.bit_xor(F.col(f"t{k}")).bitwiseXOR(F.bit_xor(f"x{k}")).alias(f"x{k}") for k in (1, 2)])
+    return over.filter("x1 = 0 AND x2 = 0").select(F.col("low").alias("src"), F.col("high").alias("dst"))

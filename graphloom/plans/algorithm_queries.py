@@ -133,7 +133,30 @@ d AS ({" UNION ALL ".join(f"SELECT id, {k} AS depth FROM l{k}" for k in range(1,
 t AS (SELECT id, count(*) AS r, sum(depth) AS d FROM d GROUP BY ALL)
 SELECT id, round(coalesce(r * r / (d * (SELECT count(*) - 1 FROM vertices)), 0), 6)::DOUBLE AS closeness FROM vertices LEFT JOIN t USING (id)""")
 def closeness_centrality(spark, sf):
-    return rounded(centrality.closeness_centrality(fx.copurchase(spark, sf)), "closeness")
+    """Exact: its state grows with vertices times vertices; the estimate beside it has no such state."""
+    return rounded(centrality.exact_closeness(fx.copurchase(spark, sf)), "closeness")
+
+
+@query("E13_closeness_hyperball")
+def closeness_hyperball(spark, sf):
+    return centrality.closeness_centrality(fx.copurchase(spark, sf))
+
+
+@query("E13_hyperball_error", f"""WITH co AS (WITH {COPURCHASE} SELECT count(*) AS n FROM vertices), sh AS (WITH {COSHIP} SELECT count(*) AS n FROM vertices)
+SELECT 'copurchase' AS graph, n AS vertices, true AS mean_within, true AS all_near FROM co UNION ALL SELECT 'coship', n, true, true FROM sh""")
+def hyperball_error(spark, sf):
+    """The estimate beside the exact value on both graphs: mean error within one standard error of a sketch, none beyond six."""
+    one = 1.04 / 2 ** (10 / 2)
+    found = None
+    for name in ("copurchase", "coship"):
+        graph = getattr(fx, name)(spark, sf)
+        near = centrality.closeness_centrality(graph).withColumnRenamed("closeness", "near")
+        gap = F.abs(F.col("near") - F.col("closeness"))
+        row = near.join(centrality.exact_closeness(graph), "id").agg(
+            F.lit(name).alias("graph"), F.count("*").alias("vertices"),
+            (F.sum(gap) <= one * F.sum("closeness")).alias("mean_within"), (F.max(gap - 6 * one * F.col("closeness")) <= 0).alias("all_near"))
+        found = row if found is None else found.unionByName(row)
+    return found
 
 
 def _betweenness_sql(levels: int) -> str:

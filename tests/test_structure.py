@@ -1,6 +1,12 @@
 """Hand-made graphs with known answers."""
 
+import random
+
+from pyspark.sql import functions as F
+
+from graphloom.graph import Graph
 from graphloom.operators import centrality, community, components, motifs, structure
+from graphloom.session import cut
 
 CYCLE3 = [(1, 2), (2, 3), (3, 1)]
 FEED_FORWARD = [(1, 2), (1, 3), (3, 2)]
@@ -92,13 +98,61 @@ def test_bridges(make):
     assert found(BARBELL) == {(3, 4)}
     assert found(PATH4) == {(1, 2), (2, 3), (3, 4)}
     assert found(CYCLE4) == set()
+    assert found([]) == set()
+
+
+def test_bridges_of_random_forests_and_cycles(make):
+    rng = random.Random(9)
+    for _ in range(3):
+        pairs = {tuple(sorted(rng.sample(range(40), 2))) for _ in range(38)}
+
+        def linked(a, b, without, pairs=pairs):
+            met, stack = {a}, [a]
+            while stack:
+                x = stack.pop()
+                for p in pairs - {without}:
+                    y = p[1] if p[0] == x else p[0] if p[1] == x else None
+                    if y is not None and y not in met:
+                        met.add(y)
+                        stack.append(y)
+            return b in met
+
+        want = {p for p in pairs if not linked(*p, p)}
+        assert {(r["src"], r["dst"]) for r in components.bridges(make(pairs)).collect()} == want
+
+
+def test_rounds_do_not_grow_with_depth_or_number_of_components(spark, monkeypatch):
+    """A path of 10,000 has as many levels; written tables stand for rounds."""
+    tables = []
+    monkeypatch.setattr(components, "cut", lambda df: tables.append(1) or cut(df))
+    links = spark.range(10_000).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    path = Graph(spark.range(10_001).select("id"), links.union(spark.createDataFrame([(9000, 9500)], "src bigint, dst bigint")))
+    assert components.bridges(path).count() == 9500
+    assert len(tables) < 150
+    tables.clear()
+    # 400 rings of five, the first ten of them in a row: as many strong components
+    rings = spark.range(2000).select(F.col("id").alias("src"), F.when(F.col("id") % 5 == 4, F.col("id") - 4).otherwise(F.col("id") + 1).alias("dst"))
+    chain = spark.range(9).select((F.col("id") * 5 + 2).alias("src"), (F.col("id") * 5 + 5).alias("dst"))
+    found = components.strongly_connected_components(Graph(spark.range(2000).select("id"), rings.union(chain)))
+    assert found.filter("scc <> id - id % 5").count() == 0 and found.count() == 2000
+    assert len(tables) < 120
+
+
+def test_hyperball_stays_near_the_exact_value(make):
+    rng = random.Random(3)
+    graph = make({(rng.randrange(300), rng.randrange(300)) for _ in range(900)})
+    near = as_dict(centrality.closeness_centrality(graph, 8), "closeness")
+    exact = as_dict(centrality.exact_closeness(graph), "closeness")
+    assert set(near) == set(exact) and all((near[i] == 0) == (exact[i] == 0) for i in exact)
+    assert sum(abs(near[i] - exact[i]) for i in exact) < 0.065 * sum(exact.values())
 
 
 def test_centralities(make):
     ranks = as_dict(centrality.pagerank(make(STAR)), "rank")
     assert abs(sum(ranks.values()) - 1) < 1e-9 and max(ranks, key=ranks.get) == 9
-    close = as_dict(centrality.closeness_centrality(make(PATH4)), "closeness")
-    assert close[1] == 0.0 and abs(close[4] - 3 / 6) < 1e-9 and abs(close[2] - 1 / 3) < 1e-9
+    for measure in (centrality.closeness_centrality, centrality.exact_closeness):
+        close = as_dict(measure(make(PATH4)), "closeness")
+        assert close[1] == 0.0 and abs(close[4] - 3 / 6) < 1e-9 and abs(close[2] - 1 / 3) < 1e-9
     between = as_dict(centrality.betweenness(make(PATH4)), "betweenness")
     assert between == {1: 0.0, 2: 2.0, 3: 2.0, 4: 0.0}
     eigen = as_dict(centrality.eigenvector_centrality(make(CYCLE4)), "eigenvector")
