@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from graphloom.functions.hashing import bucket60, order_key, unit
 from graphloom.functions.ordering import dense_index, first_by_key
 from graphloom.graph import Graph, both_ways, edge_ends, undirected_pairs
-from graphloom.session import cut
+from graphloom.session import cut, discard
 
 
 def weighted_nodes(weights: DataFrame, n: int, seed: int, weight: str = "weight") -> DataFrame:
@@ -144,34 +144,41 @@ def _starts(graph: Graph, walks_per_node: int) -> DataFrame:
 
 
 def random_walks(
-    graph: Graph, length: int, walks_per_node: int = 1, seed: int = 31337, backtrack: bool = True
+    graph: Graph, length: int, walks_per_node: int = 1, seed: int = 31337, backtrack: bool = True, steps_a_table: int = 8
 ) -> DataFrame:
     """(walk, step, node) rows of uniform walks over undirected links.
 
     With ``backtrack=False`` a step avoids the vertex it came from unless it is the
     only neighbour.  A walk from an isolated vertex has its start only.
+
+    A step is one join: the table of neighbours tells the next vertex's degree, and at which number the way back
+    stands there.  A walk carries its path, and a table is written every few steps.
     """
     index = IndexedNeighbours(graph)
-    state = cut(_starts(graph, walks_per_node).withColumn("prev", F.lit(None).cast(graph.vertices.schema["id"].dataType)))
-    steps = [state.select("walk", F.lit(0).alias("step"), "node")]
+    there = index.degrees.withColumnsRenamed({"node": "next", "degree": "next_degree"})
+    back = index.slots.select(F.col("node").alias("next"), F.col("next").alias("node"), F.col("slot").alias("next_back"))
+    ways = cut(index.slots.join(there, "next").join(back, ["node", "next"]))
+    starts, held = cut(_starts(graph, walks_per_node).join(index.degrees, "node", "left")), []
+    alone = starts.filter("degree IS NULL").select("walk", F.lit(0).alias("step"), "node")
+    state = starts.filter("degree IS NOT NULL").select(
+        "walk", "node", "degree", F.lit(None).cast("bigint").alias("back"), F.array("node").alias("path"))
     for number in range(1, length):
         draw = bucket60(seed + number, "walk")
-        here = state.join(index.degrees, "node")
-        if backtrack:
-            moved = index.step(here, F.pmod(draw, F.col("degree")))
-        else:
-            came = index.slots.select("node", F.col("next").alias("prev"), F.col("slot").alias("back"))
-            here = here.join(came, ["node", "prev"], "left")
-            pick = F.pmod(draw, F.col("degree") - 1)
+        slot = F.pmod(draw, F.col("degree"))
+        if not backtrack:
+            pick = F.pmod(draw, F.greatest(F.col("degree") - 1, F.lit(1)))
             slot = (
-                F.when(F.col("back").isNull(), F.pmod(draw, F.col("degree")))
-                .when(F.col("degree") == 1, F.lit(0).cast("bigint"))
+                F.when(F.col("back").isNull(), slot).when(F.col("degree") == 1, F.lit(0).cast("bigint"))
                 .otherwise(pick + F.when(pick >= F.col("back"), 1).otherwise(0))
             )
-            moved = index.step(here, slot)
-        state = cut(moved.select("walk", F.col("next").alias("node"), F.col("node").alias("prev")))
-        steps.append(state.select("walk", F.lit(number).alias("step"), "node"))
-    return reduce(DataFrame.unionByName, steps)
+        state = state.withColumn("slot", slot).join(ways, ["node", "slot"]).select(
+            "walk", F.col("next").alias("node"), F.col("next_degree").alias("degree"), F.col("next_back").alias("back"),
+            F.concat("path", F.array("next")).alias("path"))
+        if number % steps_a_table == 0:
+            state = cut(state)
+            discard(held)
+            held.append(state)
+    return alone.unionByName(cut(state).select("walk", F.posexplode("path").alias("step", "node")))
 
 
 def biased_walks(

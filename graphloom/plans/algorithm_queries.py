@@ -97,22 +97,17 @@ def pagerank(spark, sf):
     return ranks.select("id", F.round("rank", 9).alias("rank"))
 
 
-EIGEN_ROUNDS = 15  # by when neither side stands still yet: the co-shipment graph's second eigenvalue is near its first
+EIGEN_ROUNDS = 400  # of the SQL, by when it stands still to more digits than are compared
 
 
-def _eigen_sql() -> str:
-    parts = [f"""{REACH}, top AS (SELECT component FROM components GROUP BY ALL ORDER BY count(*) DESC, component LIMIT 1),
-x0 AS MATERIALIZED (SELECT id, 1 / sqrt(count(*) OVER ()) AS x FROM components WHERE component = (SELECT component FROM top))"""]
-    for k in range(1, EIGEN_ROUNDS + 1):
-        parts.append(f"""y{k} AS MATERIALIZED (SELECT id, sum(x) AS x FROM (SELECT id, x FROM x{k - 1}
-  UNION ALL SELECT nb.n, x FROM nb JOIN x{k - 1} USING (id)) GROUP BY ALL),
-x{k} AS MATERIALIZED (SELECT id, x / (SELECT sqrt(sum(x * x)) FROM y{k}) AS x FROM y{k})""")
-    return ",\n".join(parts) + f" SELECT id, round(coalesce(x, 0), 6)::DOUBLE AS eigenvector FROM vertices LEFT JOIN x{EIGEN_ROUNDS} USING (id)"
-
-
-@query("E12_eigenvector_centrality", _eigen_sql())
+@query("E12_eigenvector_centrality", f"""{REACH}, top AS (SELECT component FROM components GROUP BY ALL ORDER BY count(*) DESC, component LIMIT 1),
+x AS (SELECT 0 AS k, id, 1.0::DOUBLE AS x FROM components WHERE component = (SELECT component FROM top)
+  UNION ALL SELECT k, id, x / sqrt(sum(x * x) OVER ()) FROM (
+    SELECT k + 1 AS k, id, sum(x) AS x FROM (SELECT k, id, x FROM x UNION ALL SELECT k, nb.n, x FROM nb JOIN x USING (id)) GROUP BY ALL) WHERE k <= {EIGEN_ROUNDS}),
+last AS (SELECT id, x FROM x WHERE k = {EIGEN_ROUNDS})
+SELECT id, round(coalesce(x, 0), 6)::DOUBLE AS eigenvector FROM vertices LEFT JOIN last USING (id)""")
 def eigenvector_centrality(spark, sf):
-    return rounded(centrality.eigenvector_centrality(fx.coship(spark, sf), EIGEN_ROUNDS, None), "eigenvector")
+    return rounded(centrality.eigenvector_centrality(fx.coship(spark, sf)), "eigenvector")
 
 
 def _levels_sql(start: str, levels: int) -> str:

@@ -10,6 +10,7 @@ from graphloom.plans.fixtures import COPURCHASE
 from graphloom.plans.registry import query
 from graphloom.plans.sampling_queries import SEED, _walk_sql, vectors
 from graphloom.plans.structure_queries import BOTH, DEGREES, rounded
+from graphloom.session import cut
 
 
 def doubles(spark, sf):
@@ -67,22 +68,28 @@ SELECT w.id, 16::BIGINT AS width, round(coalesce(sum(v), 0), 5) AS total, round(
 FROM (SELECT DISTINCT node AS id FROM walks) w LEFT JOIN a USING (id) GROUP BY w.id"""
 
 
-@query("G03_walk_embedding", _COOCCURRENCE)
+@fx.shared
+def walk_vectors(spark, sf):
+    """Vectors of ten walks of 80 from every vertex, 128 wide."""
+    walks = sampling.random_walks(fx.copurchase(spark, sf), 80, 10)
+    return cut(embedding.walk_embedding(walks, 128).withColumnRenamed("node", "id"))
+
+
+@query("G03_walk_embedding")
 def walk_embedding(spark, sf):
-    walks = sampling.random_walks(fx.copurchase(spark, sf), 6)
-    return shown(embedding.walk_embedding(walks, 16, 3).withColumnRenamed("node", "id"))
+    return shown(walk_vectors(spark, sf))
 
 
 @query("G03_cooccurrence_embedding", _COOCCURRENCE)
 def cooccurrence_embedding(spark, sf):
-    """The same by its other name."""
+    """The random projection of the same table, on short walks."""
     walks = sampling.random_walks(fx.copurchase(spark, sf), 6)
     return shown(embedding.cooccurrence_embedding(walks, 16, 3).withColumnRenamed("node", "id"))
 
 
 @query("G04_spectral_embedding")
 def spectral_embedding(spark, sf):
-    return rounded(embedding.spectral_embedding(fx.copurchase(spark, sf), 4, 15), "v0", "v1", "v2", "v3")
+    return rounded(embedding.spectral_embedding(fx.copurchase(spark, sf), 4), "v0", "v1", "v2", "v3")
 
 
 _EGO = f"""{DEGREES}, {BOTH}, l AS MATERIALIZED (SELECT id, count(*) AS links FROM nb GROUP BY ALL),
@@ -150,6 +157,10 @@ _LABEL = """top AS (SELECT id, label FROM (SELECT id, label, round(sum(p), 9) AS
   QUALIFY row_number() OVER (PARTITION BY id ORDER BY p DESC, label) = 1) SELECT id, label FROM top"""
 
 
+# rounds of the SQL, by when either stands still to more digits than are compared
+HARMONIC_ROUNDS, CONSISTENT_ROUNDS = 40, 18
+
+
 def _harmonic_sql(rounds):
     parts = [f"WITH {COPURCHASE}, {BOTH}, {_KNOWN}, h0 AS (SELECT id, label, 1.0::DOUBLE AS p FROM known)"]
     for k in range(1, rounds + 1):
@@ -158,24 +169,26 @@ def _harmonic_sql(rounds):
     return ",\n".join(parts)
 
 
-@query("G12_label_spreading", f"{_harmonic_sql(8)}, {_LABEL.format('h8')}")
+@query("G12_label_spreading", f"{_harmonic_sql(HARMONIC_ROUNDS)}, {_LABEL.format(f'h{HARMONIC_ROUNDS}')}")
 def label_spreading(spark, sf):
     """Harmonic function: half of the parts know their kind."""
     graph = fx.copurchase(spark, sf)
     known = graph.vertices.filter("size <= 25").select("id", F.col("kind").alias("label"))
-    return community.likeliest_label(community.harmonic_labels(graph, known, 8))
+    return community.likeliest_label(community.harmonic_labels(graph, known))
 
 
 def _consistent_sql(rounds):
-    parts = [f"WITH {COPURCHASE}, {BOTH}, {_KNOWN}, c0 AS (SELECT id, label, 1.0::DOUBLE AS p FROM known)"]
+    """Starts from the part of the answer along the leading eigenvector, the root of the degrees; the rest settles in few rounds."""
+    parts = [f"""WITH {COPURCHASE}, {BOTH}, {_KNOWN}, 
+c0 AS (SELECT d.id, y.label, sqrt(d.d) * y.s / (SELECT sum(d) FROM d) AS p FROM d, (SELECT label, sum(sqrt(d)) AS s FROM known JOIN d USING (id) GROUP BY label) y)"""]
     for k in range(1, rounds + 1):
         parts.append(f"""c{k} AS MATERIALIZED (SELECT id, label, sum(p) AS p FROM (SELECT id, label, 1 - 0.99::DOUBLE AS p FROM known UNION ALL
   SELECT nb.n, label, p * 0.99::DOUBLE / sqrt(a.d * b.d) FROM nb JOIN c{k - 1} c ON c.id = nb.id JOIN d a ON a.id = nb.id JOIN d b ON b.id = nb.n) GROUP BY ALL)""")
     return ",\n".join(parts)
 
 
-@query("G12_local_global_consistency", f"{_consistent_sql(8)}, {_LABEL.format('c8')}")
+@query("G12_local_global_consistency", f"{_consistent_sql(CONSISTENT_ROUNDS)}, {_LABEL.format(f'c{CONSISTENT_ROUNDS}')}")
 def local_global_consistency(spark, sf):
     graph = fx.copurchase(spark, sf)
     known = graph.vertices.filter("size <= 25").select("id", F.col("kind").alias("label"))
-    return community.likeliest_label(community.consistent_labels(graph, known, 8))
+    return community.likeliest_label(community.consistent_labels(graph, known))

@@ -110,10 +110,10 @@ def forest_fire(spark, sf):
     return sampling.forest_fire(graph, _start(spark, sf), 0.03, SEED)
 
 
-def _walk_sql(length: int, backtrack: bool = True) -> str:
+def _walk_sql(length: int, backtrack: bool = True, each: int = 1) -> str:
     parts = [f"""{DEGREES}, {BOTH},
 slots AS MATERIALIZED (SELECT id AS node, n AS next, row_number() OVER (PARTITION BY id ORDER BY n) - 1 AS slot, count(*) OVER (PARTITION BY id) AS d FROM nb),
-w0 AS MATERIALIZED (SELECT id || '-0' AS walk, id AS node, NULL::BIGINT AS prev FROM vertices)"""]
+w0 AS MATERIALIZED (SELECT id || '-' || n AS walk, id AS node, NULL::BIGINT AS prev FROM vertices, range({each}) AS numbers(n))"""]
     for k in range(1, length):
         draw = bucket_sql("walk", SEED + k)
         if backtrack:
@@ -127,9 +127,10 @@ w0 AS MATERIALIZED (SELECT id || '-0' AS walk, id AS node, NULL::BIGINT AS prev
     return ",\n".join(parts) + f", walks AS ({union})"
 
 
-@query("G01_random_walks", f"{_walk_sql(16)} SELECT walk, step, node FROM walks")
+@query("G01_random_walks", f"{_walk_sql(80, each=10)} SELECT walk, step, node FROM walks")
 def random_walks(spark, sf):
-    return sampling.random_walks(fx.copurchase(spark, sf), 16)
+    """Ten walks of 80 from every vertex."""
+    return sampling.random_walks(fx.copurchase(spark, sf), 80, 10)
 
 
 _FEW_WALKS = "(substr(walk, 1, length(walk) - 2)::BIGINT) % 97 = 0"

@@ -6,11 +6,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from graphloom.functions.vectors import cosine_similarity
-from graphloom.operators import embedding, linkpred, models, neighbors, sampling, structure, tabular
+from graphloom.operators import embedding, linkpred, models, neighbors, structure, tabular
 from graphloom.plans import fixtures as fx
 from graphloom.plans import sampling_queries
 from graphloom.plans.fixtures import COPURCHASE, table
-from graphloom.plans.learning_queries import doubles, shown
+from graphloom.plans.learning_queries import doubles, shown, walk_vectors
 from graphloom.plans.registry import query
 from graphloom.plans.structure_queries import DEGREES, rounded
 
@@ -139,7 +139,7 @@ def random_forest_pair_scores(spark, sf):
 def _pair_vectors(spark, sf):
     """Both ends' walk vectors for every edge and as many non-edges."""
     graph = fx.copurchase(spark, sf)
-    walked = embedding.walk_embedding(sampling.random_walks(graph, 6), 16, 3).withColumnRenamed("node", "id")
+    walked = walk_vectors(spark, sf)
     labelled = tabular.union_labelled(graph.edges.select("src", "dst"), sampling_queries._negatives(spark, sf))
     return models.as_features(linkpred.concat_vectors(labelled, walked))
 
@@ -191,4 +191,4 @@ def classify_unlabelled(spark, sf):
 @query("G06_structural_roles")
 def structural_roles(spark, sf):
     features = embedding.recursive_features(fx.copurchase(spark, sf), 1, prune_at=0.95)
-    return models.structural_roles(features, [c for c in features.columns if c != "id"])
+    return models.structural_roles(features, [c for c in features.columns if c != "id"]).drop("shares")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +41,11 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def workers_find_library(spark: SparkSession) -> None:
+    """Python workers import this library from where the driver did, unless they have a path of their own."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[1]))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Folder for checkpoints: the cluster's shared one wherever it is named.
 
