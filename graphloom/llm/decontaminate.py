@@ -31,8 +31,9 @@ LEAST_WORDS, LEAST_PART = 13, 0.8
 MISMATCH = 4
 #: items with fewer words are no evidence and are never reported
 SHORTEST_ITEM = 5
-#: benchmark seeds up to this number (about 100 MB) are broadcast; beyond it both sides shuffle by the hash
-BROADCAST_SEEDS = 1_000_000
+#: benchmark seeds up to this number (three numbers each) and item texts up to these bytes are broadcast; beyond
+#: either both sides shuffle by the hash
+BROADCAST_SEEDS, BROADCAST_BYTES = 1_000_000, 32 << 20
 
 
 def words(text: str) -> Column:
@@ -106,35 +107,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
     """
     items = benchmark.select(F.col(item_column).alias("item"), words(item_text).alias("words"))
     items = items.withColumn("n", F.size("words")).filter(F.col("n") >= SHORTEST_ITEM)
-    items = items.withColumn("kind", _kind())
+    # an item is known by a number; rows that repeat it are one
+    items = cut(items.withColumn("kind", _kind()).withColumn("no", F.xxhash64("item", "words")).dropDuplicates(["no"]))
     kinds = [r["kind"] for r in items.select("kind").distinct().orderBy("kind").collect()]
     seeds = cut(reduce(DataFrame.unionByName, [_seeds(items.filter(F.col("kind") == k), k) for k in kinds or [max(MASKS)]])
-                .select("item", "seed", F.col("place").alias("item_place"), F.col("words").alias("item_words")))
+                .select("no", "seed", F.col("place").alias("item_place")))
+    texts = items.select("no", "item", F.col("words").alias("item_words"))
+    held = items.agg(F.sum(F.octet_length(F.concat_ws(" ", "words"))).alias("bytes")).first()["bytes"] or 0
 
     rows = docs.select(*document_key(id_column, text_column), words(text_column).alias("words"))
     diagonal = (F.col("place") - F.col("item_place")).alias("diagonal")
-    key = ["id", "text_key", "item", "diagonal"]
+    key = ["id", "text_key", "item", "no", "diagonal"]
     # the stretch of the document that lies along the item
     first = F.greatest(-F.col("diagonal"), F.lit(0))
     stop = F.least(F.size("item_words"), F.size("words") - F.col("diagonal"))
     along = [
         F.slice("words", F.col("diagonal") + first + 1, stop - first).alias("here"),
         F.slice("item_words", first + 1, stop - first).alias("there"), F.size("item_words").alias("n")]
-    if seeds.count() <= BROADCAST_SEEDS:
-        hits = [part.join(F.broadcast(seeds), "seed").select("id", "text_key", "item", diagonal, "words", "item_words").select(*key, *along)
+    if seeds.count() <= BROADCAST_SEEDS and held <= BROADCAST_BYTES:
+        hits = [part.join(F.broadcast(seeds), "seed").select("id", "text_key", "no", diagonal, "words").join(F.broadcast(texts), "no").select(*key, *along)
                 for part in (_seeds(rows, k) for k in kinds or [max(MASKS)])]
         # hits on one diagonal are neighbours in one task and fold before the shuffle
         near = reduce(DataFrame.unionByName, hits).groupBy(*key).agg(*[F.first(c).alias(c) for c in ("here", "there", "n")])
     else:
-        narrow = seeds.drop("item_words")
         hits = reduce(DataFrame.unionByName, [
-            part.drop("words").join(narrow, "seed").select("id", "text_key", "item", diagonal)
+            part.drop("words").join(seeds, "seed").select("id", "text_key", "no", diagonal)
             for part in (_seeds(rows, k) for k in kinds or [max(MASKS)])]).distinct()
         same = F.col("h.id").eqNullSafe(F.col("r.id")) & (F.col("h.text_key") == F.col("r.text_key"))
         near = (
             hits.alias("h").join(rows.dropDuplicates(["id", "text_key"]).alias("r"), same)
-            .select("h.*", "words").join(items.select("item", F.col("words").alias("item_words")), "item")
-            .select(*key, *along))
+            .select("h.*", "words").join(texts, "no").select(*key, *along))
     scored = (
         near.withColumn("equal", F.zip_with("here", "there", lambda a, b: a == b))
         .withColumn("s", _best_segment())

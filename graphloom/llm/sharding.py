@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graphloom.functions.ordering import running_totals
-from graphloom.llm.common import shuffle_partitions, text_of
+from graphloom.llm.common import fresh, shuffle_partitions, text_of
 from graphloom.session import cut, shared_path
 
 BUCKET_BYTES = 32 << 20
@@ -43,29 +43,29 @@ def write_shards(docs: DataFrame, path: str, shards: int = 16, seed: int = 17, i
     rows = sizes["n"]
     buckets = max(shuffle_partitions(spark), -(-(sizes["bytes"] or 0) // bucket_bytes))
 
-    text_crc = F.crc32(F.encode(text_of(text_column), "UTF-8"))
-    scattered = docs.withColumn("_crc", text_crc).withColumn(
-        "_bucket", F.pmod(F.xxhash64(F.lit(seed), F.col(id_column), F.col("_crc")), F.lit(buckets)))
+    crc, bucket, row, before, order, position, n, upto = map(fresh, ("crc", "bucket", "row", "before", "order", "position", "n", "upto"))
+    scattered = docs.withColumn(crc, F.crc32(F.encode(text_of(text_column), "UTF-8"))).withColumn(
+        bucket, F.pmod(F.xxhash64(F.lit(seed), F.col(id_column), F.col(crc)), F.lit(buckets)).cast("int"))
 
     # one row per bucket from here: its permutation and the number of records before it
-    counts = scattered.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    totals = running_totals(counts, ["_bucket"], {"_n": "_upto"})
-    ordered = totals.repartitionByRange("_bucket").sortWithinPartitions("_bucket")
-    # written once, so a task that runs again reads the same permutation
-    plan = cut(ordered.select("_bucket", (F.col("_upto") - F.col("_n")).alias("_before"),
-                              F.shuffle(F.sequence(F.lit(0), (F.col("_n") - 1).cast("int")), seed).alias("_order")))
+    counts = scattered.groupBy(bucket).agg(F.count("*").alias(n))
+    totals = running_totals(counts, [bucket], {n: upto})
+    # partition b holds bucket b alone, and a partition draws by seed and its own number; written once, so
+    # a task that runs again reads the same permutation
+    plan = cut(totals.repartitionById(buckets, bucket).select(bucket, (F.col(upto) - F.col(n)).alias(before),
+               F.shuffle(F.sequence(F.lit(0), (F.col(n) - 1).cast("int")), seed).alias(order)))
 
-    inside = Window.partitionBy("_bucket").orderBy(F.col(id_column), F.col("_crc"))
+    inside = Window.partitionBy(bucket).orderBy(F.col(id_column), F.col(crc))
     placed = (
-        scattered.repartition(buckets, "_bucket")
-        .withColumn("_row", F.row_number().over(inside))
-        .join(plan.hint("merge"), "_bucket")
-        .withColumn("_position", F.col("_before") + F.element_at("_order", F.col("_row")))
+        scattered.repartitionById(buckets, bucket)
+        .withColumn(row, F.row_number().over(inside))
+        .join(plan.hint("merge"), bucket)
+        .withColumn(position, F.col(before) + F.element_at(order, F.col(row)))
     )
-    shard = F.expr(f"cast(_position * {shards} div {max(rows, 1)} as int)")
+    shard = F.expr(f"cast({position} * {shards} div {max(rows, 1)} as int)")
     first = F.expr(f"(shard * {rows}L + {shards - 1}) div {shards}")
-    out = placed.withColumn("shard", shard).withColumn("slot", F.col("_position") - first)
-    out.drop("_bucket", "_crc", "_row", "_before", "_order", "_position").write.partitionBy("shard").parquet(path)
+    out = placed.withColumn("shard", shard).withColumn("slot", F.col(position) - first)
+    out.drop(bucket, crc, row, before, order, position).write.partitionBy("shard").parquet(path)
     schema = T.StructType([*docs.schema.fields, T.StructField("slot", T.LongType()), T.StructField("shard", T.IntegerType())])
     return spark.read.schema(schema).parquet(path)
 

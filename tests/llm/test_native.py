@@ -148,3 +148,31 @@ def test_shards_hold_every_record_once(spark, tmp_path):
     assert sharding.write_shards(docs.limit(0), str(tmp_path / "d")).count() == 0
     digest = sharding.shard_digest(docs)
     assert {r["size"] for r in digest.filter("doc_id = 4").collect()} >= {1}
+
+
+def test_shards_keep_all_columns_and_do_not_depend_on_the_partitioning(spark, tmp_path):
+    names = "_crc _bucket _row _before _order _position _n _upto".split()
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat('text ', id % 90) AS text", *[f"concat('{n}', id) AS {n}" for n in names])
+    first = sharding.write_shards(docs, str(tmp_path / "a"), 5, bucket_bytes=1000)
+    assert {c for c in first.columns} == {*docs.columns, "shard", "slot"}
+    rows = {r["doc_id"]: r for r in first.collect()}
+    assert len(rows) == 400 and all(rows[i][n] == f"{n}{i}" for i in range(400) for n in names)
+    again = sharding.write_shards(docs.repartition(7), str(tmp_path / "b"), 5, bucket_bytes=1000)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        third = sharding.write_shards(docs.coalesce(1), str(tmp_path / "c"), 5, bucket_bytes=1000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for other in (again, third):
+        assert {r["doc_id"]: (r["shard"], r["slot"]) for r in other.collect()} == {i: (r["shard"], r["slot"]) for i, r in rows.items()}
+    places = [i for i, _ in sorted(rows.items(), key=lambda x: (x[1]["shard"], x[1]["slot"]))]
+    assert sum(p == k for k, p in enumerate(places)) < 20
+
+
+def test_large_benchmarks_are_joined_without_broadcasting_their_texts(spark, monkeypatch):
+    items, table = bench(spark)
+    docs = frame(spark, rows([(i, " ".join(words(900 + i, 30)) + " " + text, "en") for i, (_, text, *_) in enumerate(items[:8])]) + awkward())
+    want = {(r["id"], r["item"], r["matched"], r["overlap"]) for r in decontaminate.contaminated(docs, table).collect()}
+    assert len(want) >= 8
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 10)
+    assert {(r["id"], r["item"], r["matched"], r["overlap"]) for r in decontaminate.contaminated(docs, table).collect()} == want
