@@ -155,7 +155,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     chosen = marked.orderBy(F.xxhash64(id_column), id_column).limit(examples)
     # at most ``examples`` ids are broadcast
     texts = in_small_batches(docs).select(F.col(id_column).alias("id"), text_of(text_column).alias("text"))
-    sample = texts.join(F.broadcast(chosen.withColumnRenamed(id_column, "id")), "id").persist()
+    candidates = texts.join(F.broadcast(chosen.withColumnRenamed(id_column, "id")), "id").withColumn("text_key", F.xxhash64("text"))
+    # rows that repeat id and text are one example, and an id may stand on any number of rows: the rows are bounded
+    rows = candidates.select("id", "text_key").distinct().orderBy(F.xxhash64("id"), "id", "text_key").limit(examples)
+    sample = candidates.join(F.broadcast(rows), ["id", "text_key"]).dropDuplicates(["id", "text_key"]).drop("text_key").persist()
     totals = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     positive, negative = totals.get(1, 0), totals.get(0, 0)
     n = positive + negative
