@@ -63,7 +63,7 @@ def fit(docs: DataFrame, language: Column, identity: Column, text_column: str =
     The sample holds up to ``documents`` texts of each language.  Its word counts stay a table; each round
     sums expected piece counts in tasks, and only these (languages times vocabulary) reach the driver.
     """
-    labelled = in_small_batches(docs).select(language.alias("language"), F.col(text_column).alias("text"), identity.alias("pick")) \
+    labelled = in_small_batches(docs).select(language.alias("language"), F.col(text_column).alias("text"), F.xxhash64(identity, F.col(text_column)).alias("pick")) \
         .filter("language is not null and text is not null")
     counts = {r["language"]: r["n"] for r in labelled.groupBy("language").agg(F.count("*").alias("n")).collect()}
     languages = sorted(counts)
@@ -74,7 +74,8 @@ def fit(docs: DataFrame, language: Column, identity: Column, text_column: str =
     share = spark.createDataFrame([(k, min(1.0, 1.5 * documents / n + 50 / n)) for k, n in counts.items()], "language string, share double")
     unit = F.pmod("pick", F.lit(1 << 20)) / F.lit(float(1 << 20))
     ranked = Window.partitionBy("language").orderBy("pick", "text")
-    sample = labelled.join(F.broadcast(share), "language").filter(unit < F.col("share")) \
+    # rows that repeat id and text pick alike and teach once
+    sample = labelled.join(F.broadcast(share), "language").filter(unit < F.col("share")).dropDuplicates(["language", "pick"]) \
         .withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= documents).select("language", "text")
     words = sample.mapInArrow(_word_counts, "language string, word string, n long").groupBy("language", "word") \
         .agg(F.sum("n").alias("n")).persist()
