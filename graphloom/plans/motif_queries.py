@@ -58,9 +58,9 @@ def cycle_matches(spark, sf):
     return motifs.triangle_matches(copurchase(spark, sf), G4, edge_label=None, vertex_label=None).select("a", "b", "c")
 
 
-@query("M01_motif_find", f"""WITH {FORUM}
+@query("M01_motif_find", f"""WITH {FORUM}, found AS MATERIALIZED (
 SELECT e.src AS a_id, e.relationship AS e_relationship, e.dst AS b_id, e2.relationship AS e2_relationship, e2.dst AS c_id
-FROM edges e JOIN edges e2 ON e2.src = e.dst""")
+FROM edges e JOIN edges e2 ON e2.src = e.dst) SELECT * FROM found""")
 def motif_find(spark, sf):
     found = motifs.find(forum(spark, sf), "(a)-[e]->(b); (b)-[e2]->(c)", vertex_columns=[])
     return found.select(
@@ -166,21 +166,21 @@ def four_edge_count(spark, sf):
         "c_type": "c.type", "e3_relationship": "e3.relationship", "d_type": "d.type", "e4_relationship": "e4.relationship"})
 
 
-@query("M07_motif_two_path", f"""WITH {FORUM}
-SELECT e.src, e.dst, e.relationship FROM edges e JOIN edges e2 ON e2.dst = e.src""")
+@query("M07_motif_two_path", f"""WITH {FORUM}, found AS MATERIALIZED (
+SELECT e.src, e.dst, e.relationship FROM edges e JOIN edges e2 ON e2.dst = e.src) SELECT * FROM found""")
 def motif_two_path(spark, sf):
     """a -> b with c -> a, the first edge's own columns."""
     found = motifs.find(forum(spark, sf), "(a)-[e]->(b); (c)-[e2]->(a)", vertex_columns=[])
     return motifs.expand(found, "e")
 
 
-_FILTERED_SQL = f"""WITH {FORUM}
+_FILTERED_SQL = f"""WITH {FORUM}, found AS MATERIALIZED (
 SELECT a.id AS a_id, a.type AS a_type, e.relationship AS e_relationship, b.id AS b_id, b.type AS b_type,
   e2.relationship AS e2_relationship, c.id AS c_id, c.type AS c_type, e3.relationship AS e3_relationship, d.type AS d_type
 FROM edges e JOIN edges e2 ON e2.dst = e.dst JOIN edges e3 ON e3.dst = e2.src
 JOIN vertices a ON a.id = e.src JOIN vertices b ON b.id = e.dst
 JOIN vertices c ON c.id = e2.src JOIN vertices d ON d.id = e3.src
-WHERE a.type = 'User' AND b.type = 'Post' AND c.type = 'Post' AND d.type = 'User' AND e3.relationship = 'Answers'"""
+WHERE a.type = 'User' AND b.type = 'Post' AND c.type = 'Post' AND d.type = 'User' AND e3.relationship = 'Answers') SELECT * FROM found"""
 
 
 def _filtered(spark, sf):
@@ -209,10 +209,10 @@ def struct_field_project(spark, sf):
     return _filtered(spark, sf).select(*[F.col(p).alias(n) for n, p in _MATCH_FIELDS.items()]).distinct()
 
 
-@query("B27_motif_property_filter", f"""WITH {FORUM}
+@query("B27_motif_property_filter", f"""WITH {FORUM}, found AS MATERIALIZED (
 SELECT e.src AS a_id, e.dst AS b_id, a.vote_type AS vote_type, e2.relationship AS e2_relationship, e2.dst AS c_id
 FROM edges e JOIN edges e2 ON e2.src = e.dst JOIN vertices a ON a.id = e.src
-WHERE a.type = 'Vote' AND a.vote_type = 'UpVote'""")
+WHERE a.type = 'Vote' AND a.vote_type = 'UpVote') SELECT * FROM found""")
 def motif_property_filter(spark, sf):
     """Filter on properties of matched elements after the match."""
     found = motifs.find(
