@@ -4,8 +4,13 @@ The DOMs of one host are merged: elements with the same path of tags and classes
 style tree.  A node's presentation importance is the entropy of the child sequences it has on its pages, its
 content importance is one minus the mean entropy of its text blocks over the pages (a block on every page has
 entropy 1, one that stands on a single page 0); both use logarithms to the base of the number of pages, so a node
-seen on one page has importance 1.  Branches of low importance are removed from each page, as are those whose
-tag, role or class says that they are no content; what an article or main element holds is preferred to the rest.
+seen on one page has importance 1.  The tree also knows how much text a node has on a page.
+
+On each page, a branch's importance is that of its nodes, weighted by their text, times a factor that grows with its share
+of the text beside it: r / (r + SHARE), r its text over that of the greatest branch beside it.  Branches of low
+importance are removed from the top down; inside the element that holds the running text itself the factor is 1.
+Article and main elements weigh more, classes and ids that speak of adverts, notices, comments and the like weigh less;
+elements and roles that are menus, footers, sidebars or forms by definition are no text at all.
 """
 
 from __future__ import annotations
@@ -20,10 +25,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm.common import in_small_batches, row_batches, text_of
+from graphloom.session import cut
 
 #: share of the content in a node's importance, and the importance under which a branch is removed
 GAMMA, LEAST = 0.9, 0.4
-#: low nodes up to this number are broadcast (some 100 bytes each); beyond it they are joined by host
+#: share of the text beside it at which a branch has half its importance
+SHARE = 0.2
+#: weight of the text in an article or main element, and of that under a name that speaks of no content
+LANDMARK_WEIGHT, NAME_WEIGHT = 1000.0, 0.01
+#: nodes up to this number are broadcast (some 30 bytes each); beyond it they are joined by host
 BROADCAST_NODES = 100_000
 
 # Elements by their role in a page.
@@ -46,19 +56,33 @@ NO_CONTENT_NAMES = frozenset(
     "sidenav widget widgets footer masthead topbar comment comments commentlist disqus respond replies share sharing social related "
     "recommended recommendations pagination pager toolbar hidden disclaimer copyright skip".split())
 
-_TOKENS = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>|\Z)|[^<]+|<", re.S)
+_TOKENS = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>|\Z)|[^<]+|<(?!/?[a-zA-Z])", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
 _PARTS = re.compile(r"[a-z]+")
+_DIGITS = re.compile(r"[0-9]+")
 
 
 class Block:
-    """A run of text without a block boundary in it."""
+    """A run of text without a block boundary in it.
+
+    ``path`` names its node in the style tree, ``branch`` the nearest element around it that is more than running text.
+    """
+
+    __slots__ = ("path", "branch", "silent", "named", "running", "text")
+
+    def __init__(self, path: int, branch: int, silent: bool, named: bool, running: bool, text: str) -> None:
+        self.path, self.branch, self.silent, self.named, self.running, self.text = path, branch, silent, named, running, text
+
 
-    __slots__ = ("path", "no_content", "landmark", "text")
+class Element:
+    """An open element, with what holds for all text in it."""
 
-    def __init__(self, path: str, no_content: bool, landmark: bool, text: str) -> None:
-        self.path, self.no_content, self.landmark, self.text = path, no_content, landmark, text
+    __slots__ = ("tag", "path", "branch", "silent", "named", "landmark", "running", "holder")
+
+    def __init__(self, tag: str, path: int, branch: int, silent: bool, named: bool, landmark: bool, running: bool) -> None:
+        self.tag, self.path, self.branch, self.silent, self.named = tag, path, branch, silent, named
+        self.landmark, self.running, self.holder = landmark, running, self
 
 
 def _attributes(tag: str) -> dict[str, str]:
@@ -69,27 +93,38 @@ def _attributes(tag: str) -> dict[str, str]:
     return found
 
 
-def _speaks_of_no_content(tag: str, attributes: dict[str, str], inside: bool) -> bool:
+def _is_no_content(tag: str, attributes: dict[str, str], inside: bool) -> bool:
+    """By definition of the element, its role, or because it is not shown."""
     if tag in NO_CONTENT or tag == "header" and not inside:
         return True
     if not attributes:
         return False
-    if attributes.get("role", "").lower() in NO_CONTENT_ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true":
-        return True
-    if "display:none" in attributes.get("style", "").replace(" ", "").lower():
-        return True
+    return (attributes.get("role", "").lower() in NO_CONTENT_ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true"
+            or "display:none" in attributes.get("style", "").replace(" ", "").lower())
+
+
+def _speaks_of_no_content(tag: str, attributes: dict[str, str]) -> bool:
     if tag in ("body", "html") or tag in LANDMARK:
         return False
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    parts = _PARTS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", names).lower())
-    return not NO_CONTENT_NAMES.isdisjoint(parts)
+    return not NO_CONTENT_NAMES.isdisjoint(_PARTS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", names).lower()))
 
 
-def parse(source: str) -> tuple[list[Block], dict[str, str]]:
-    """(text blocks in page order, child sequence by path) of a page, however broken its markup."""
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # tag, path, no content, landmark
+def _node(parent: int, style: str) -> int:
+    return xxhash.xxh3_64_intdigest(f"{parent} {style}") >> 1
+
+
+def parse(source: str) -> tuple[list[Block], dict[int, str], dict[int, tuple[int, bool, bool]]]:
+    """(text blocks in page order, child sequence by path, branches) of a page, however broken its markup.
+
+    A branch is (parent branch, is an article or main, its name speaks of no content), parents first.  Time and memory
+    grow with the page's length, whatever its nesting: paths are chained hashes, and open elements are known by tag.
+    """
+    stack = [Element("", 0, 0, False, False, False, False)]
+    places: dict[str, list[int]] = {}  # where in the stack elements of a tag are open
     blocks: list[Block] = []
-    children: dict[str, list[str]] = {}
+    children: dict[int, list[str]] = {}
+    branches: dict[int, tuple[int, bool, bool]] = {0: (-1, False, False)}
     words: list[str] = []
     holder = stack[0]
 
@@ -97,27 +132,28 @@ def parse(source: str) -> tuple[list[Block], dict[str, str]]:
         if words:
             text = " ".join("".join(words).split())
             if text:
-                blocks.append(Block(holder[1], holder[2], holder[3], text))
+                blocks.append(Block(holder.path, holder.branch, holder.silent, holder.named, holder.running, text))
             words.clear()
 
     def close(upto: int) -> None:
         nonlocal holder
-        if any(e[0] in BLOCKS for e in stack[upto:]):
+        if any(e.tag in BLOCKS for e in stack[upto:]):
             end_block()
+        for e in reversed(stack[upto:]):
+            places[e.tag].pop()
         del stack[upto:]
-        holder = next(e for e in reversed(stack) if e[0] in BLOCKS or e[2] or not e[0])
+        holder = stack[-1].holder
 
     def find(names: tuple[str, ...], bounds: tuple[str, ...] = ()) -> int:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in names:
-                return i
-            if stack[i][0] in bounds:
-                break
-        return 0
+        """Place of the innermost open element of these names, 0 if there is none inside the innermost of ``bounds``."""
+        last = max((places[n][-1] for n in names if places.get(n)), default=0)
+        return last if last and last > max((places[n][-1] for n in bounds if places.get(n)), default=0) else 0
 
     at, size = 0, len(source)
     while at < size:
         token = _TOKENS.match(source, at)
+        if token is None:
+            break  # a tag with a quote that the page never closes
         at = token.end()
         token = token[0]
         if token[0] != "<" or token == "<":
@@ -150,27 +186,40 @@ def parse(source: str) -> tuple[list[Block], dict[str, str]]:
         if name == "body" and (i := find(("head",))):
             close(i)
         attributes = _attributes(token) if " " in token or "\n" in token or "\t" in token else {}
-        _, path, no_content, landmark = stack[-1]
+        around = stack[-1]
         if name in BLOCKS:
             end_block()
         style = ".".join([name, *sorted(set(attributes.get("class", "").lower().split()))])
-        if name in BLOCKS or name in NO_CONTENT:
+        path, branch = around.path, around.branch
+        silent = around.silent or _is_no_content(name, attributes, around.landmark)
+        here = bool(attributes) and _speaks_of_no_content(name, attributes)
+        block = name in BLOCKS or name in NO_CONTENT
+        if block:
             children.setdefault(path, []).append(style)
-            path = f"{path}/{re.sub(r'[0-9]+', '#', style)}"
-        entry = (name, path, no_content or _speaks_of_no_content(name, attributes, landmark), landmark or name in LANDMARK)
+            style = _DIGITS.sub("#", style)
+            path = _node(path, style)
+            if style not in PLAIN or here:
+                branch = _node(branch, f"{style} {here}")
+                branches.setdefault(branch, (around.branch, name in LANDMARK, here))
         if name in RAW:
             stop = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, at)
             at = stop.end() if stop else size
             continue
         if token.endswith("/>") and name in ("svg", "path"):
             continue
-        stack.append(entry)
-        if name in BLOCKS or entry[2]:
-            if entry[2] and not holder[2]:
+        landmark = around.landmark or name in LANDMARK
+        running = name in LANDMARK or around.running and (not block or style in PLAIN)
+        entry = Element(name, path, branch, silent, around.named or here, landmark, running)
+        if block or silent and not around.silent:
+            if silent and not holder.silent:
                 end_block()
             holder = entry
+        else:
+            entry.holder = around.holder
+        places.setdefault(name, []).append(len(stack))
+        stack.append(entry)
     end_block()
-    return blocks, {k: " ".join(dict.fromkeys(v)) for k, v in children.items()}
+    return blocks, {k: " ".join(dict.fromkeys(v)) for k, v in children.items()}, branches
 
 
 def _host() -> Column:
@@ -178,7 +227,7 @@ def _host() -> Column:
     return F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-_FEATURES = "host string, page long, seen array<struct<path: string, kind: string, feature: long>>"
+_FEATURES = "host string, page long, seen array<struct<path: long, kind: string, feature: long>>"
 
 
 def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,22 +235,25 @@ def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in row_batches(batches, rows=200):
         keys, ends, flat = [], [0], []
         for source in batch.column("html").to_pylist():
-            blocks, children = parse(source)
+            blocks, children, _ = parse(source)
+            chars = dict.fromkeys(children, 0)
+            for b in blocks:
+                chars[b.path] = chars.get(b.path, 0) + len(b.text)
             found = {(b.path, "text", xxhash.xxh3_64_intdigest(b.text) >> 1) for b in blocks}
             found |= {(path, "style", xxhash.xxh3_64_intdigest(style) >> 1) for path, style in children.items()}
-            found |= {(path, "page", 0) for path, *_ in list(found)}
+            found |= {(path, "page", n) for path, n in chars.items()}
             flat += sorted(found)
             ends.append(len(flat))
-            keys.append(xxhash.xxh3_64_intdigest("\n".join(f"{b.path} {b.text}" for b in blocks if not b.no_content)) >> 1)
+            keys.append(xxhash.xxh3_64_intdigest("\n".join(f"{b.path} {b.text}" for b in blocks if not (b.silent or b.named))) >> 1)
         entries = pa.StructArray.from_arrays(
-            [pa.array([f[0] for f in flat], pa.string()), pa.array([f[1] for f in flat], pa.string()), pa.array([f[2] for f in flat], pa.int64())],
+            [pa.array([f[0] for f in flat], pa.int64()), pa.array([f[1] for f in flat], pa.string()), pa.array([f[2] for f in flat], pa.int64())],
             names=["path", "kind", "feature"])
         yield pa.record_batch([batch.column("host"), pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)],
                               names=["host", "page", "seen"])
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, importance) of every node with text, from (host, html).
+    """(host, path, pages, importance, chars) of every node with text, from (host, html); ``chars``: mean length of its text.
 
     Pages of one host with the same text are copies and count once: a copy says nothing about what a site repeats.
     """
@@ -210,7 +262,8 @@ def style_tree(pages: DataFrame) -> DataFrame:
         .select("host", F.inline("seen")).groupBy("host", "path", "kind", "feature").agg(F.count("*").alias("n"))
     text, style, page = F.col("kind") == "text", F.col("kind") == "style", F.col("kind") == "page"
     nodes = counted.groupBy("host", "path").agg(
-        F.max(F.when(page, F.col("n"))).alias("pages"),
+        F.sum(F.when(page, F.col("n"))).alias("pages"),
+        F.sum(F.when(page, F.col("n") * F.col("feature"))).alias("chars"),
         F.avg(F.when(text, F.log("n"))).alias("block_log"),  # entropy of a block on n pages, before the base
         F.sum(F.when(style, F.col("n"))).alias("styled"),
         F.sum(F.when(style, F.col("n") * F.log("n"))).alias("style_log"))
@@ -221,30 +274,62 @@ def style_tree(pages: DataFrame) -> DataFrame:
     spread = (F.log("styled") - F.col("style_log") / F.col("styled")) / base
     presentation = F.when(F.col("styled").isNull(), content).when(many, spread).otherwise(1.0)
     return nodes.filter("block_log is not null").select(
-        "host", "path", "pages", ((1 - GAMMA) * presentation + GAMMA * content).alias("importance"))
-
-
-def _plain(path: str) -> bool:
-    """Whether a path below its last landmark has elements of running text only, without classes."""
-    parts = path.split("/")
-    last = max((i for i, p in enumerate(parts) if p.split(".")[0] in LANDMARK), default=-1)
-    return last >= 0 and all(p in PLAIN for p in parts[last + 1:])
+        "host", "path", "pages", ((1 - GAMMA) * presentation + GAMMA * content).alias("importance"), (F.col("chars") / F.col("pages")).alias("chars"))
 
 
-def main_text(source: str, low: frozenset[str] | set[str] = frozenset()) -> str:
-    """Text of a page's main content; ``low``: paths of low importance on its host.
+def main_text(source: str, site: dict[int, tuple[float, float]] | None = None, tree_alone: bool = False) -> str:
+    """Text of a page's main content; ``site``: (importance, mean length of text) by path on its host, where known.
 
-    Where the page has an article or main element, only what it holds counts.  In it, a branch of low importance
-    goes unless it is plain running text, which a site may repeat word for word (a story printed twice).
+    Plain running text of an article or main element stays where a site repeats it (a story printed twice).
+    ``tree_alone`` leaves elements, roles and names aside, so that the style tree alone decides.
     """
-    blocks, _ = parse(source)
-    kept = [b for b in blocks if not b.no_content]
-    inside = [b for b in kept if b.landmark]
-    if inside:
-        kept = [b for b in inside if b.path not in low or _plain(b.path)]
-    else:
-        kept = [b for b in kept if b.path not in low]
-    return "\n".join(b.text for b in kept)
+    blocks, _, branches = parse(source)
+    if not tree_alone:
+        blocks = [b for b in blocks if not b.silent]
+    site = site or {}
+    own: dict[int, float] = {}
+    holds: dict[int, int] = {}
+    for b in blocks:
+        own[b.path], holds[b.path] = own.get(b.path, 0.0) + len(b.text), b.branch
+    direct, sums, worth = dict.fromkeys(branches, 0.0), dict.fromkeys(branches, 0.0), dict.fromkeys(branches, 0.0)
+    for path, chars in own.items():
+        importance, usual = site.get(path, (1.0, chars))
+        direct[holds[path]] += usual
+        sums[holds[path]] += usual
+        worth[holds[path]] += usual * importance
+    # from the leaves up: parents come first in ``branches``
+    total = direct.copy()
+    greatest = dict.fromkeys(branches, 0.0)
+    for branch in reversed(branches):
+        parent, landmark, named = branches[branch]
+        if not tree_alone:
+            total[branch] *= (LANDMARK_WEIGHT if landmark else 1.0) * (NAME_WEIGHT if named else 1.0)
+        if parent >= 0:
+            total[parent] += total[branch]
+            sums[parent] += sums[branch]
+            worth[parent] += worth[branch]
+            greatest[parent] = max(greatest[parent], total[branch])
+
+    def share(text: float, beside: float) -> float:
+        r = text / beside if beside else 0.0
+        return r / (r + SHARE)
+
+    kept, content = {0: True}, {}
+    for branch, (parent, landmark, named) in branches.items():
+        if parent >= 0:
+            beside = max(direct[parent], greatest[parent])
+            factor = 1.0 if content[parent] and (tree_alone or not named) else share(total[branch], beside)
+            kept[branch] = kept[parent] and sums[branch] > 0 and worth[branch] / sums[branch] * factor >= LEAST
+        content[branch] = parent >= 0 and content[parent] or landmark and not tree_alone or direct[branch] >= greatest[branch]
+    out = []
+    for b in blocks:
+        if not kept[b.branch]:
+            continue
+        if not content[b.branch] and share(direct[b.branch], max(direct[b.branch], greatest[b.branch])) < LEAST:
+            continue
+        if site.get(b.path, (1.0, 0.0))[0] >= LEAST or b.running and not tree_alone:
+            out.append(b.text)
+    return "\n".join(out)
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
@@ -252,22 +337,31 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
 
     Blocks of the main content in page order, joined by newlines, white space inside a block as one space; an
     empty text where there is none, as for null or empty html.  Pages without an address share one host.  A host
-    with one page has no low branch.  Copies of a page on its host count as one page there, and all get their text.  Very long pages are read whole;
+    with one page is judged by that page.  Copies of a page on its host count as one page there, and all get their text.  Very long pages are read whole;
     an empty table gives an empty one; other columns play no part.
     """
     rows = in_small_batches(pages).select(F.col(id_column).alias("id"), F.col(url_column).alias("url"), text_of(html_column).alias("html")).withColumn("host", _host())
-    low = style_tree(rows.select("host", "html")).filter(F.col("importance") < LEAST).groupBy("host").agg(F.collect_set("path").alias("low"))
-    # a host's low paths stand on two of its pages at least; few in practice, and checked before they are broadcast
-    low = low.persist()
-    total = low.agg(F.sum(F.size("low"))).first()[0] or 0
-    low = F.broadcast(low) if total <= BROADCAST_NODES else low
+    # a node seen on one page says nothing that the page does not say itself
+    sites = style_tree(rows.select("host", "html")).filter(F.col("pages") > 1).groupBy("host").agg(
+        F.collect_list(F.struct("path", F.col("importance").cast("float").alias("importance"), F.col("chars").cast("float").alias("chars"))).alias("site"))
+    # written, as two readers follow; its size is checked before it is broadcast
+    sites = cut(sites)
+    total = sites.agg(F.sum(F.size("site"))).first()[0] or 0
+    sites = F.broadcast(sites) if total <= BROADCAST_NODES else sites
     kind = pages.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, dict] = {}
         for batch in row_batches(batches):
-            texts = [main_text(source, frozenset(paths or ())) for source, paths in zip(batch.column("html").to_pylist(), batch.column("low").to_pylist(), strict=True)]
+            hosts, column, texts = batch.column("host").to_pylist(), batch.column("site"), []
+            for i, source in enumerate(batch.column("html").to_pylist()):
+                if hosts[i] not in known:
+                    if len(known) >= 64:
+                        known.clear()
+                    known[hosts[i]] = {n["path"]: (n["importance"], n["chars"]) for n in column[i].as_py() or ()}
+                texts.append(main_text(source, known[hosts[i]]))
             yield pa.record_batch([batch.column("id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                   names=["id", "url", "text", "n_chars"])
 
-    return rows.join(low, "host", "left").select("id", F.col("url").cast("string").alias("url"), "html", "low").mapInArrow(
+    return rows.join(sites, "host", "left").select("id", F.col("url").cast("string").alias("url"), "host", "html", "site").mapInArrow(
         run, f"id {kind}, url string, text string, n_chars bigint")
