@@ -6,8 +6,8 @@ content importance is one minus the mean entropy of its text blocks over the pag
 entropy 1, one that stands on a single page 0); both use logarithms to the base of the number of pages, so a node
 seen on one page has importance 1.  The tree also knows how much text a node has on a page.
 
-On each page, a branch's importance is that of its nodes, weighted by their text, times a factor that grows with its share
-of the text beside it: r / (r + SHARE), r its text over that of the greatest branch beside it.  Branches of low
+On each page, a branch's importance is that of its most important node (a branch is noise if all in it is) times a factor that
+grows with its share of the text beside it: r / (r + SHARE), r its text over that of the greatest branch beside it.  Branches of low
 importance are removed from the top down; inside the element that holds the running text itself the factor is 1.
 Article and main elements weigh more, classes and ids that speak of adverts, notices, comments and the like weigh less;
 elements and roles that are menus, footers, sidebars or forms by definition are no text at all.
@@ -291,12 +291,11 @@ def main_text(source: str, site: dict[int, tuple[float, float]] | None = None, t
     holds: dict[int, int] = {}
     for b in blocks:
         own[b.path], holds[b.path] = own.get(b.path, 0.0) + len(b.text), b.branch
-    direct, sums, worth = dict.fromkeys(branches, 0.0), dict.fromkeys(branches, 0.0), dict.fromkeys(branches, 0.0)
+    direct, best = dict.fromkeys(branches, 0.0), dict.fromkeys(branches, 0.0)
     for path, chars in own.items():
         importance, usual = site.get(path, (1.0, chars))
         direct[holds[path]] += usual
-        sums[holds[path]] += usual
-        worth[holds[path]] += usual * importance
+        best[holds[path]] = max(best[holds[path]], importance)
     # from the leaves up: parents come first in ``branches``
     total = direct.copy()
     greatest = dict.fromkeys(branches, 0.0)
@@ -306,8 +305,7 @@ def main_text(source: str, site: dict[int, tuple[float, float]] | None = None, t
             total[branch] *= (LANDMARK_WEIGHT if landmark else 1.0) * (NAME_WEIGHT if named else 1.0)
         if parent >= 0:
             total[parent] += total[branch]
-            sums[parent] += sums[branch]
-            worth[parent] += worth[branch]
+            best[parent] = max(best[parent], best[branch])
             greatest[parent] = max(greatest[parent], total[branch])
 
     def share(text: float, beside: float) -> float:
@@ -319,7 +317,7 @@ def main_text(source: str, site: dict[int, tuple[float, float]] | None = None, t
         if parent >= 0:
             beside = max(direct[parent], greatest[parent])
             factor = 1.0 if content[parent] and (tree_alone or not named) else share(total[branch], beside)
-            kept[branch] = kept[parent] and sums[branch] > 0 and worth[branch] / sums[branch] * factor >= LEAST
+            kept[branch] = kept[parent] and best[branch] * factor >= LEAST
         content[branch] = parent >= 0 and content[parent] or landmark and not tree_alone or direct[branch] >= greatest[branch]
     out = []
     for b in blocks:
