@@ -57,7 +57,7 @@ def write_shards(docs: DataFrame, path: str, shards: int = 16, seed: int = 17, i
 
     inside = Window.partitionBy(bucket).orderBy(F.col(id_column), F.col(crc))
     placed = (
-        scattered.repartitionById(buckets, bucket)
+        scattered.repartition(buckets, bucket)
         .withColumn(row, F.row_number().over(inside))
         .join(plan.hint("merge"), bucket)
         .withColumn(position, F.col(before) + F.element_at(order, F.col(row)))
