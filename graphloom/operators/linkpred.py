@@ -96,11 +96,18 @@ def negative_sampling(graph: Graph, n: int, seed: int, per_edge: int = 2) -> Dat
         drawn, draws = draws, draws * 2
 
 
-def pair_vectors(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Both ends' vectors next to each pair as ``u`` and ``v``; pairs without both go."""
-    return pairs.join(vectors.select(F.col("id").alias("src"), F.col("vector").alias("u")), "src").join(
-        vectors.select(F.col("id").alias("dst"), F.col("vector").alias("v")), "dst"
-    )
+def pair_vectors(pairs: DataFrame, vectors: DataFrame, width: int | None = None) -> DataFrame:
+    """Both ends' vectors next to each pair as ``u`` and ``v``; an end without a vector has zeros.
+
+    ``width`` is that of the vectors; where it is not given, the longest one's is looked up.
+    """
+    kind = vectors.schema["vector"].dataType
+    if width is None:
+        width = vectors.agg(F.max(F.size("vector"))).first()[0] or 0
+    none = F.array_repeat(F.lit(0.0), width).cast(kind)
+    ends = pairs.join(vectors.select(F.col("id").alias("src"), F.col("vector").alias("u")), "src", "left").join(
+        vectors.select(F.col("id").alias("dst"), F.col("vector").alias("v")), "dst", "left")
+    return ends.withColumn("u", F.coalesce("u", none)).withColumn("v", F.coalesce("v", none))
 
 
 def concat_vectors(pairs: DataFrame, vectors: DataFrame) -> DataFrame:

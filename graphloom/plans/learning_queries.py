@@ -8,7 +8,7 @@ from graphloom.operators import community, embedding, sampling
 from graphloom.plans import fixtures as fx
 from graphloom.plans.fixtures import COPURCHASE
 from graphloom.plans.registry import query
-from graphloom.plans.sampling_queries import SEED, _walk_sql, vectors
+from graphloom.plans.sampling_queries import FILLED, SEED, _walk_sql, vectors
 from graphloom.plans.structure_queries import BOTH, DEGREES, rounded
 from graphloom.session import cut
 
@@ -17,6 +17,12 @@ def doubles(spark, sf):
     return vectors(spark, sf).select("id", F.col("vector").cast("array<double>").alias("vector"))
 
 
+def filled(spark, sf):
+    """A vector for every vertex, zeros where it has none."""
+    none = F.array_repeat(F.lit(0.0), 64)
+    return fx.parts(spark, sf).select("id").join(doubles(spark, sf), "id", "left").select("id", F.coalesce("vector", none).alias("vector"))
+
+
 def shown(df, vector="vector"):
     """A vector by its length, its sum and the sum of its squares."""
     v = F.col(vector)
@@ -26,6 +32,7 @@ def shown(df, vector="vector"):
 
 
 _LONG = f"""WITH {COPURCHASE}, feats AS MATERIALIZED (SELECT vec_id AS id, unnest(embedding::DOUBLE[]) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings)"""
+_WHOLE = f"""WITH {COPURCHASE}, {FILLED}, feats AS MATERIALIZED (SELECT id, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM emb)"""
 _SHOWN = "SELECT id, count(*) AS width, round(sum(x), 5) AS total, round(sum(x * x), 5) AS squares FROM {0} GROUP BY id"
 
 
@@ -37,10 +44,10 @@ def _sage_sql(rounds):
     return ",\n".join(parts)
 
 
-@query("N01_mean_aggregate", f"{_LONG}, {_sage_sql(2)} {_SHOWN.format('s2')}")
+@query("N01_mean_aggregate", f"{_WHOLE}, {_sage_sql(2)} {_SHOWN.format('s2')}")
 def mean_aggregate(spark, sf):
     """Two rounds of own vector averaged with the neighbour mean."""
-    return shown(embedding.sage_rounds(fx.copurchase(spark, sf).edges, doubles(spark, sf), 2))
+    return shown(embedding.sage_rounds(fx.copurchase(spark, sf).edges, filled(spark, sf), 2))
 
 
 @query("N02_gcn_propagate", f"""{_LONG}, w AS MATERIALIZED (SELECT src, dst, 1 / sqrt(count(*) OVER (PARTITION BY src) * count(*) OVER (PARTITION BY dst)) AS w FROM edges),
@@ -50,12 +57,12 @@ def gcn_propagate(spark, sf):
     return shown(embedding.gcn_propagate(fx.copurchase(spark, sf).edges, doubles(spark, sf), 2))
 
 
-@query("N03_attention_aggregate", f"""{_LONG},
-sc AS MATERIALIZED (SELECT src, dst, list_dot_product(u.embedding::DOUBLE[], v.embedding::DOUBLE[]) AS s FROM edges JOIN embeddings u ON u.vec_id = src JOIN embeddings v ON v.vec_id = dst),
+@query("N03_attention_aggregate", f"""{_WHOLE},
+sc AS MATERIALIZED (SELECT src, dst, list_dot_product(a.v, b.v) AS s FROM edges JOIN emb a ON a.id = src JOIN emb b ON b.id = dst),
 att AS (SELECT src, dst, exp(s - max(s) OVER (PARTITION BY dst)) AS e FROM sc), nrm AS (SELECT src, dst, e / sum(e) OVER (PARTITION BY dst) AS a FROM att),
 o AS (SELECT dst AS id, pos, sum(a * x) AS x FROM nrm JOIN feats ON feats.id = src GROUP BY ALL) {_SHOWN.format('o')}""")
 def attention_aggregate(spark, sf):
-    return shown(embedding.attention_aggregate(fx.copurchase(spark, sf).edges, doubles(spark, sf)))
+    return shown(embedding.attention_aggregate(fx.copurchase(spark, sf).edges, filled(spark, sf)))
 
 
 _COOCCURRENCE = f"""{_walk_sql(6)},

@@ -246,14 +246,18 @@ def vectors(spark, sf):
     return table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
 
 
-@query("L08_dot_product_score", f"""WITH {COPURCHASE} SELECT src, dst, round(list_dot_product(u.embedding::DOUBLE[], v.embedding::DOUBLE[]), 6) AS score
-FROM edges JOIN embeddings u ON u.vec_id = src JOIN embeddings v ON v.vec_id = dst""")
+#: every vertex's vector, zeros where it has none
+FILLED = """emb AS MATERIALIZED (SELECT id, coalesce(embedding::DOUBLE[], list_resize([]::DOUBLE[], 64, 0.0::DOUBLE)) AS v FROM vertices LEFT JOIN embeddings ON vec_id = id)"""
+
+
+@query("L08_dot_product_score", f"""WITH {COPURCHASE}, {FILLED} SELECT src, dst, round(list_dot_product(a.v, b.v), 6) AS score
+FROM edges JOIN emb a ON a.id = src JOIN emb b ON b.id = dst""")
 def dot_product_score(spark, sf):
     return rounded(linkpred.dot_scores(fx.copurchase(spark, sf).edges, vectors(spark, sf)), "score")
 
 
-@query("C16_pair_feature_join", f"""WITH {COPURCHASE}, c AS (SELECT src, dst, list_concat(u.embedding, v.embedding)::DOUBLE[] AS x
-  FROM edges JOIN embeddings u ON u.vec_id = src JOIN embeddings v ON v.vec_id = dst)
+@query("C16_pair_feature_join", f"""WITH {COPURCHASE}, {FILLED}, c AS (SELECT src, dst, list_concat(a.v, b.v) AS x
+  FROM edges JOIN emb a ON a.id = src JOIN emb b ON b.id = dst)
 SELECT src, dst, len(x) AS width, round(list_sum(x), 5) AS total, round(x[65], 6) AS first_of_dst FROM c""")
 def pair_feature_join(spark, sf):
     """Both ends' vectors as one, shown by its width, sum and the first value of its second half."""

@@ -12,20 +12,21 @@ from graphloom.plans import sampling_queries
 from graphloom.plans.fixtures import COPURCHASE, table
 from graphloom.plans.learning_queries import doubles, shown, walk_vectors
 from graphloom.plans.registry import query
+from graphloom.plans.sampling_queries import FILLED
 from graphloom.plans.structure_queries import DEGREES, rounded
 
 _NEAR = """near AS (SELECT u.vec_id AS a, v.vec_id AS b, list_distance(u.embedding::DOUBLE[], v.embedding::DOUBLE[]) AS distance
 FROM embeddings u JOIN embeddings v ON u.vec_id < v.vec_id WHERE list_distance(u.embedding::DOUBLE[], v.embedding::DOUBLE[]) <= 1.2)"""
 
 
-@query("B20_cosine_similarity", f"""WITH {COPURCHASE} SELECT src, dst, round(list_dot_product(u.embedding::DOUBLE[], v.embedding::DOUBLE[])
-  / (sqrt(list_dot_product(u.embedding::DOUBLE[], u.embedding::DOUBLE[])) * sqrt(list_dot_product(v.embedding::DOUBLE[], v.embedding::DOUBLE[]))), 6) AS cosine
-FROM edges JOIN embeddings u ON u.vec_id = src JOIN embeddings v ON v.vec_id = dst""")
+@query("B20_cosine_similarity", f"""WITH {COPURCHASE}, {FILLED} SELECT src, dst, round(coalesce(list_dot_product(a.v, b.v)
+  / nullif(sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v)), 0), 0), 6) AS cosine
+FROM edges JOIN emb a ON a.id = src JOIN emb b ON b.id = dst""")
 def cosine(spark, sf):
     from graphloom.operators.linkpred import pair_vectors
 
     pairs = pair_vectors(fx.copurchase(spark, sf).edges, doubles(spark, sf))
-    return rounded(pairs.select("src", "dst", cosine_similarity("u", "v").alias("cosine")), "cosine")
+    return rounded(pairs.select("src", "dst", F.coalesce(cosine_similarity("u", "v"), F.lit(0.0)).alias("cosine")), "cosine")
 
 
 @query("B21_text_embedding")
@@ -67,7 +68,28 @@ def lsh_knn_graph(spark, sf):
 
 
 EPS, MIN_POINTS = 0.02, 5
-DBSCAN_SQL = f"""WITH RECURSIVE p AS MATERIALIZED (SELECT vec_id AS id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings),
+AXIS_ROUNDS = 600  # of the SQL's power iteration, by when the axes stand still
+
+
+def _axis_sql(name: str, matrix: str) -> str:
+    """CTEs of the leading eigenvector of a table (i, line) of a symmetric matrix."""
+    return f"""{name}_steps AS (SELECT 0 AS k, list_transform(range(64), lambda i: 1.0::DOUBLE + i % 7) AS v
+  UNION ALL SELECT k + 1, list_transform(l, lambda x: x / sqrt(list_dot_product(l, l))) FROM (
+    SELECT k, list(list_dot_product(line, v) ORDER BY i) AS l FROM {name}_steps, {matrix} WHERE k < {AXIS_ROUNDS} GROUP BY k)),
+{name} AS MATERIALIZED (SELECT v FROM {name}_steps WHERE k = {AXIS_ROUNDS})"""
+
+
+DBSCAN_SQL = f"""WITH RECURSIVE vec AS MATERIALIZED (SELECT vec_id AS id, embedding::DOUBLE[] AS e FROM embeddings),
+cell AS (SELECT id, unnest(e) AS x, generate_subscripts(e, 1) AS i FROM vec),
+centred AS MATERIALIZED (SELECT id, i, x - avg(x) OVER (PARTITION BY i) AS x FROM cell),
+cov AS MATERIALIZED (SELECT i, list(s ORDER BY j) AS line FROM (
+  SELECT a.i, b.i AS j, sum(a.x * b.x) AS s FROM centred a JOIN centred b USING (id) GROUP BY ALL) GROUP BY i),
+{_axis_sql("first_axis", "cov")},
+rest AS MATERIALIZED (SELECT i, list_transform(list_zip(line, f.v), lambda z: z[1] - f.v[i] * z[2] * list_dot_product(f.v, f.image)) AS line
+  FROM cov, (SELECT any_value(v) AS v, list(list_dot_product(line, v) ORDER BY i) AS image FROM first_axis, cov) f),
+{_axis_sql("second_axis", "rest")},
+p AS MATERIALIZED (SELECT id, list_dot_product(c, f.v) AS x, list_dot_product(c, g.v) AS y
+  FROM (SELECT id, list(x ORDER BY i) AS c FROM centred GROUP BY id), first_axis f, second_axis g),
 near AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM p a JOIN p b ON sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= {EPS}),
 cores AS MATERIALIZED (SELECT a AS id FROM near GROUP BY ALL HAVING count(*) >= {MIN_POINTS}),
 cc AS MATERIALIZED (SELECT a, b FROM near WHERE a IN (SELECT id FROM cores) AND b IN (SELECT id FROM cores)),
@@ -79,10 +101,9 @@ SELECT p.id, coalesce(named.cluster, edge.cluster, -1) AS cluster FROM p LEFT JO
 
 @query("K02_dbscan", DBSCAN_SQL)
 def dbscan(spark, sf):
-    """Density clusters of the first two components; -1 is noise."""
-    v = F.col("embedding").cast("array<double>")
-    points = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), v[0].alias("x"), v[1].alias("y"))
-    return neighbors.dbscan(points, EPS, MIN_POINTS)
+    """Density clusters of the vectors reduced to their two principal components; -1 is noise."""
+    reduced = models.principal_components(_labelled_vectors(spark, sf), 2).withColumn("v", vector_to_array("components"))
+    return neighbors.dbscan(reduced.select("id", F.col("v")[0].alias("x"), F.col("v")[1].alias("y")), EPS, MIN_POINTS)
 
 
 def _labelled_vectors(spark, sf):
