@@ -145,8 +145,10 @@ def path_counts(
         labelled = holders.select(
             F.col("id").alias("src"), *[F.col(prop).alias(name) for name, prop in labels.items()]
         )
-        # written, so that the next join can split the edges of a hub
-        suffix = cut(counted.join(labelled, "src"))
+        suffix = counted.join(labelled, "src")
+        if i:
+            # written, so that the next join can split the edges of a hub
+            suffix = cut(suffix)
         fields = [*labels, edge_name, *fields]
     return suffix.groupBy(*fields).agg(F.sum("n").alias("n")).orderBy(F.desc("n"), *fields)
 

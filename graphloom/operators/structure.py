@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import permutations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -207,6 +208,34 @@ def clustering_directed(graph: Graph) -> DataFrame:
 # --- dispersion -----------------------------------------------------------------------------------
 
 
+def ego_links(e: DataFrame) -> DataFrame:
+    """(u, v, s) with u -> v, u -> s and v -> s: the links among the successors of every u.
+
+    They are the directed readings of the undirected triangles, which open at their
+    lowest-degree corner: at most E * sqrt(E) wedges, and no hub's successors are paired.
+    """
+    pairs = e.groupBy(F.least("src", "dst").alias("low_id"), F.greatest("src", "dst").alias("high_id")).agg(
+        F.max(F.col("src") < F.col("dst")).alias("up"), F.max(F.col("src") > F.col("dst")).alias("down")
+    ).withColumnsRenamed({"low_id": "src", "high_id": "dst"})
+    rising = F.col("low") < F.col("high")
+    oriented = cut(oriented_pairs(pairs).select(
+        "low", "high", F.when(rising, F.col("up")).otherwise(F.col("down")).alias("there"),
+        F.when(rising, F.col("down")).otherwise(F.col("up")).alias("back"),
+    ))
+
+    def side(x: str, y: str) -> DataFrame:
+        return oriented.select(F.col("low").alias(x), F.col("high").alias(y),
+                               F.col("there").alias(x + y), F.col("back").alias(y + x))
+
+    found = side("a", "b").join(side("a", "c"), "a").join(side("b", "c"), ["b", "c"])
+    readings = F.array(*[
+        F.struct(F.col(u).alias("u"), F.col(v).alias("v"), F.col(s).alias("s"),
+                 (F.col(u + v) & F.col(u + s) & F.col(v + s)).alias("holds"))
+        for u, v, s in permutations("abc")
+    ])
+    return found.select(F.explode(readings).alias("r")).select("r.*").filter("holds").drop("holds")
+
+
 def dispersion(graph: Graph) -> DataFrame:
     """Normalised dispersion of every edge (u, v).
 
@@ -214,28 +243,36 @@ def dispersion(graph: Graph) -> DataFrame:
     point at t and no successor of u other than v is a successor of both; divide by
     |ST|.  The close pairs are few, so those are found by joins and subtracted from
     |ST|(|ST|-1)/2; the far pairs are never listed.
+
+    A pair's closeness hardly depends on v, so it is settled once per u and pair: s
+    points at t, or the two share successors in u's neighbourhood.  Only where they
+    share a single one does it matter whether that one is v.  Every close pair then
+    counts for each v that points at both, found from the end that fewer point at.
     """
     e = simple_digraph(graph.edges)
-    st = cut(
-        e.join(e.select(F.col("src").alias("u"), F.col("dst").alias("s")), F.col("src") == F.col("u"))
-        .filter("dst <> s").select("u", F.col("dst").alias("v"), "s")
-        .join(e.select(F.col("src").alias("v"), F.col("dst").alias("s")), ["v", "s"], "left_semi")
-    )
+    st = cut(ego_links(e))
     sizes = st.groupBy("u", "v").agg(F.count("*").alias("k"))
-    one = st.withColumnRenamed("s", "t")
-    linked = (
-        st.join(e.select(F.col("src").alias("s"), F.col("dst").alias("t")), "s")
-        .filter("s < t").join(one, ["u", "v", "t"], "left_semi").select("u", "v", "s", "t")
+    first = st.select("u", F.col("v").alias("s"), F.col("s").alias("w"))
+    shared = (
+        first.join(first.withColumnRenamed("s", "t"), ["u", "w"]).filter("s < t")
+        .groupBy("u", "s", "t").agg(F.count("*").alias("n"), F.min("w").alias("w"))
     )
-    # successors w of s inside u's neighbourhood, for every (u, v, s)
-    inside = (
-        st.join(e.select(F.col("src").alias("s"), F.col("dst").alias("w")), "s")
-        .filter("w <> v AND w <> u")
-        .join(e.select(F.col("src").alias("u"), F.col("dst").alias("w")), ["u", "w"], "left_semi")
-        .select("u", "v", "s", "w")
+    # a link settles the pair for every v, as two shared successors do
+    linked = st.filter("v < s").select(
+        "u", F.col("v").alias("s"), F.col("s").alias("t"), F.lit(2).cast("bigint").alias("n"), F.lit(None).cast(st.schema["s"].dataType).alias("w"))
+    close_pairs = shared.unionByName(linked).groupBy("u", "s", "t").agg(F.sum("n").alias("n"), F.min("w").alias("w"))
+    # pointed at inside u's neighbourhood; pairs with an end that nothing points at count for no v
+    fame = cut(st.groupBy("u", "s").agg(F.count("*").alias("fame")))
+    ranked = close_pairs.join(fame, ["u", "s"]).join(fame.withColumnsRenamed({"s": "t", "fame": "t_fame"}), ["u", "t"])
+    turn = F.col("t_fame") < F.col("fame")
+    opened = cut(ranked.select(
+        "u", F.when(turn, F.col("t")).otherwise(F.col("s")).alias("s"),
+        F.when(turn, F.col("s")).otherwise(F.col("t")).alias("t"), F.when(F.col("n") == 1, F.col("w")).alias("only")))
+    close = (
+        opened.join(st, ["u", "s"]).filter("only IS NULL OR only <> v")
+        .join(st.withColumnRenamed("s", "t"), ["u", "v", "t"], "left_semi")
+        .groupBy("u", "v").agg(F.count("*").alias("close"))
     )
-    bridged = inside.join(inside.withColumnRenamed("s", "t"), ["u", "v", "w"]).filter("s < t").select("u", "v", "s", "t")
-    close = linked.unionByName(bridged).distinct().groupBy("u", "v").agg(F.count("*").alias("close"))
     far = F.col("k") * (F.col("k") - 1) / 2 - F.coalesce("close", F.lit(0))
     return (
         e.withColumnsRenamed({"src": "u", "dst": "v"})

@@ -131,12 +131,10 @@ FROM edges e JOIN edges e2 ON e2.src = e.dst JOIN edges e3 ON e3.src = e2.dst
 JOIN vertices a ON a.id = e.src JOIN vertices b ON b.id = e.dst JOIN vertices c ON c.id = e2.dst
 GROUP BY ALL""")
 def three_edge_count(spark, sf):
-    """The signature count over listed matches; the path count above is its cheap form."""
-    found = motifs.find(
-        forum(spark, sf), "(a)-[e]->(b); (b)-[e2]->(c); (c)-[e3]->(d)", vertex_columns=["type"])
-    return motifs.signature_count(found, {
-        "a_type": "a.type", "e_relationship": "e.relationship", "b_type": "b.type",
-        "e2_relationship": "e2.relationship", "c_type": "c.type", "e3_relationship": "e3.relationship"})
+    """The signature count of a chain of three edges, by counts carried along the path."""
+    counted = motifs.path_counts(
+        forum(spark, sf), [{"a_type": "type"}, {"b_type": "type"}, {"c_type": "type"}])
+    return counted.withColumnsRenamed({"e1": "e_relationship", "e2": "e2_relationship", "e3": "e3_relationship"})
 
 
 _FOUR_CYCLE_SQL = f"""WITH {FORUM}

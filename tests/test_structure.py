@@ -1,5 +1,6 @@
 """Hand-made graphs with known answers."""
 
+import itertools
 import random
 
 from pyspark.sql import functions as F
@@ -172,3 +173,38 @@ def test_hub_with_a_third_of_all_edges(make):
     graph = make(hub)
     for pattern in (G4, G5):
         assert total(motifs.triangle_counts(graph, pattern)) == motifs.find(graph, pattern, vertex_columns=[]).count()
+
+
+def brute_dispersion(links):
+    after = {}
+    for a, b in links:
+        if a != b:
+            after.setdefault(a, set()).add(b)
+    found = {}
+    for u in after:
+        for v in after[u]:
+            common = sorted(after[u] & after.get(v, set()))
+            far = 0
+            for s, t in itertools.combinations(common, 2):
+                inside = (after[u] & after.get(s, set())) - {u, v}
+                far += t not in inside and inside.isdisjoint(after.get(t, set()))
+            found[u, v] = (len(common), far / len(common) if common else 0.0)
+    return found
+
+
+def test_dispersion_against_brute_force(make):
+    rng = random.Random(3)
+    links = [(rng.randrange(24), rng.randrange(24)) for _ in range(170)]
+    # a hub linked with everyone, loops, repeated links and a part of its own
+    links += [(50, i) for i in range(24)] + [(i, 50) for i in range(0, 24, 2)] + [(3, 3), links[0], (60, 61), (61, 62), (60, 62)]
+    want = brute_dispersion(links)
+    got = {(r.u, r.v): (r.embeddedness, r.dispersion) for r in structure.dispersion(make(links)).collect()}
+    assert got == want and max(k for k, _ in want.values()) > 5
+    assert any(0 < d for _, d in want.values())
+
+
+def test_dispersion_pairs_no_successors_of_a_hub(make, spark):
+    """A hub that points at many vertices without links among them leaves no row behind."""
+    links = [(0, i) for i in range(1, 3000)]
+    assert structure.ego_links(make(links).edges.select("src", "dst")).count() == 0
+    assert structure.dispersion(make(links[:50])).agg({"embeddedness": "max"}).first()[0] == 0
