@@ -67,6 +67,19 @@ def lsh_knn_graph(spark, sf):
     return rounded(neighbors.lsh_pairs(doubles(spark, sf), 1.2, bucket=0.4), "distance")
 
 
+@query("G11_nearest_descent")
+def nearest_descent(spark, sf):
+    """About the ten nearest vectors of each, by neighbour descent."""
+    return rounded(neighbors.nearest_descent(doubles(spark, sf)), "distance")
+
+
+@query("G11_descent_recall")
+def descent_recall(spark, sf):
+    """The share of true neighbours that the descent finds, over 200 vectors compared with all."""
+    points = doubles(spark, sf)
+    return rounded(neighbors.recall(neighbors.nearest_descent(points), neighbors.exact_nearest(points, 10)), "recall")
+
+
 EPS, MIN_POINTS = 0.02, 5
 AXIS_ROUNDS = 600  # of the SQL's power iteration, by when the axes stand still
 

@@ -7,6 +7,7 @@ import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 # Runtime settings the operators are designed around.  AQE coalesces small
 # shuffle partitions and splits skewed join partitions, also where the split
@@ -96,3 +97,25 @@ def discard(tables: list[DataFrame]) -> None:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written table, in the same shared folder as the checkpoints."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+class Layers:
+    """A table written in numbered layers and read back as one scan with a column ``level``.
+
+    For loops that need everything found so far: a union would have one branch a round, this
+    is one table however many rounds there were.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path, self.schema = spark, shared_path(spark, name), None
+
+    def add(self, level: int, rows: DataFrame) -> DataFrame:
+        """Write one layer and return it read back."""
+        place = f"{self.path}/level={level}"
+        rows.write.mode("overwrite").parquet(place)
+        self.schema = rows.schema
+        return self.spark.read.schema(rows.schema).parquet(place)
+
+    def all(self) -> DataFrame:
+        """Every layer so far; a filter on ``level`` reads only the layers asked for."""
+        return self.spark.read.schema(StructType([*self.schema.fields, StructField("level", IntegerType())])).parquet(self.path)

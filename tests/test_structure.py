@@ -208,3 +208,19 @@ def test_dispersion_pairs_no_successors_of_a_hub(make, spark):
     links = [(0, i) for i in range(1, 3000)]
     assert structure.ego_links(make(links).edges.select("src", "dst")).count() == 0
     assert structure.dispersion(make(links[:50])).agg({"embeddedness": "max"}).first()[0] == 0
+
+
+def test_sampled_paths_stay_within_the_error(make):
+    rng = random.Random(9)
+    # two crowds that meet in vertex 0, a tail, and a part that nothing reaches
+    links = [(rng.randrange(1, 16), rng.randrange(1, 16)) for _ in range(50)]
+    links += [(rng.randrange(16, 31), rng.randrange(16, 31)) for _ in range(50)]
+    links += [(i, 0) for i in (1, 5, 20)] + [(0, i) for i in (2, 7, 17, 25)] + [(30, 31), (31, 32), (32, 33), (40, 41)]
+    graph = make(links, extra=[50])
+    n = graph.vertices.count()
+    exact = as_dict(centrality.betweenness(graph), "betweenness")
+    got = as_dict(centrality.betweenness_by_paths(graph, error=0.04), "betweenness")
+    assert set(got) == set(exact) and max(exact.values()) / (n * (n - 1)) > 0.1
+    assert max(abs(got[v] - exact[v] / (n * (n - 1))) for v in exact) <= 0.04
+    assert all(got[v] == 0 for v in exact if exact[v] == 0)
+    assert set(as_dict(centrality.betweenness_by_paths(make([(1, 2)])), "betweenness").values()) == {0.0}

@@ -70,3 +70,31 @@ def test_spectral_columns_are_orthonormal(make):
     table = embedding.spectral_embedding(make(LINKS), 2, 5)
     row = table.agg(F.sum(F.col("v0") * F.col("v0")), F.sum(F.col("v0") * F.col("v1")), F.sum(F.col("v1") * F.col("v1"))).first()
     assert abs(row[0] - 1) < 1e-9 and abs(row[1]) < 1e-9 and abs(row[2] - 1) < 1e-9
+
+
+def test_descent_finds_nine_in_ten(spark):
+    rng = random.Random(11)
+    # a third of the points in one crowd, repeated vectors among them
+    points = [(i, [rng.gauss(0, 0.01) if i % 3 == 0 else rng.random() for _ in range(8)]) for i in range(900)]
+    points += [(1000 + i, points[0][1]) for i in range(30)]
+    df = spark.createDataFrame(points, "id bigint, vector array<double>")
+    found = neighbors.nearest_descent(df, 8)
+    rows = found.collect()
+    where = dict(points)
+    assert len(rows) == 8 * len(points) == len({(r.id, r.neighbour) for r in rows})
+    assert all(r.id != r.neighbour and abs(r.distance - math.dist(where[r.id], where[r.neighbour])) < 1e-9 for r in rows)
+    exact = neighbors.exact_nearest(df, 8, queries=60)
+    for r in exact.limit(40).collect():
+        near = sorted(math.dist(where[r.id], v) for i, v in points if i != r.id)[:8]
+        assert r.distance <= near[-1] + 1e-12
+    share = neighbors.recall(found, exact).first()
+    assert share.queries == 60 and share.recall >= 0.9
+
+
+def test_descent_of_few_points(spark):
+    schema = "id bigint, vector array<double>"
+    assert neighbors.nearest_descent(spark.createDataFrame([], schema)).count() == 0
+    assert neighbors.nearest_descent(spark.createDataFrame([(1, [0.0])], schema)).count() == 0
+    few = neighbors.nearest_descent(spark.createDataFrame([(1, [0.0]), (2, [1.0]), (3, [5.0])], schema), 10)
+    assert {(r.id, r.neighbour): r.distance for r in few.collect()} == {
+        (1, 2): 1.0, (2, 1): 1.0, (1, 3): 5.0, (3, 1): 5.0, (2, 3): 4.0, (3, 2): 4.0}
