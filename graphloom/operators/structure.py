@@ -131,7 +131,7 @@ def oriented_pairs(pairs: DataFrame) -> DataFrame:
     """Undirected pairs pointed from the lower to the higher (degree, id) end.
 
     Every out-degree is then at most sqrt(2m), whatever the largest degree is.
-    Columns other than src and dst are kept; ``flipped`` tells a turned pair.
+    ``rank`` is the higher end's (degree, id); columns other than src and dst are kept.
     """
     d = cut(endpoint_rows(pairs).groupBy("id").agg(F.count("*").alias("_d")))
     rest = [c for c in pairs.columns if c not in ("src", "dst")]
@@ -142,10 +142,17 @@ def oriented_pairs(pairs: DataFrame) -> DataFrame:
     return ranked.select(
         F.when(turn, F.col("dst")).otherwise(F.col("src")).alias("low"),
         F.when(turn, F.col("src")).otherwise(F.col("dst")).alias("high"),
+        F.greatest("_rs", "_rd")["_d"].alias("rank"),
         *rest,
     )
 
 
+def _wedges(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Pairs b, c of a's higher neighbours, each once: only b below c can be a pair of the oriented graph."""
+    opened = first.join(second, "a")
+    return opened.filter("b_rank < c_rank OR (b_rank = c_rank AND b < c)").drop("b_rank", "c_rank")
+
+
 def triangles(pairs: DataFrame, weight: str | None = None) -> DataFrame:
     """Each undirected triangle once as (a, b, c), with its edges' weight product if asked."""
     kept = pairs if weight else pairs.select("src", "dst")
@@ -153,11 +160,11 @@ def triangles(pairs: DataFrame, weight: str | None = None) -> DataFrame:
     w = [F.col(weight)] if weight else [F.lit(1).alias("w")]
 
     def side(x: str, y: str, name: str) -> DataFrame:
-        return oriented.select(F.col("low").alias(x), F.col("high").alias(y), w[0].alias(name))
+        return oriented.select(F.col("low").alias(x), F.col("high").alias(y), w[0].alias(name), F.col("rank").alias(f"{y}_rank"))
 
     # a is the lowest-ranked corner; b and c are two of its at most sqrt(2m) higher neighbours
-    wedge = side("a", "b", "w1").join(side("a", "c", "w2"), "a")
-    return wedge.join(side("b", "c", "w3"), ["b", "c"]).select(
+    wedge = _wedges(side("a", "b", "w1"), side("a", "c", "w2"))
+    return wedge.join(side("b", "c", "w3").drop("c_rank"), ["b", "c"]).select(
         "a", "b", "c", (F.col("w1") * F.col("w2") * F.col("w3")).alias("w")
     )
 
@@ -219,15 +226,15 @@ def ego_links(e: DataFrame) -> DataFrame:
     ).withColumnsRenamed({"low_id": "src", "high_id": "dst"})
     rising = F.col("low") < F.col("high")
     oriented = cut(oriented_pairs(pairs).select(
-        "low", "high", F.when(rising, F.col("up")).otherwise(F.col("down")).alias("there"),
+        "low", "high", "rank", F.when(rising, F.col("up")).otherwise(F.col("down")).alias("there"),
         F.when(rising, F.col("down")).otherwise(F.col("up")).alias("back"),
     ))
 
     def side(x: str, y: str) -> DataFrame:
-        return oriented.select(F.col("low").alias(x), F.col("high").alias(y),
+        return oriented.select(F.col("low").alias(x), F.col("high").alias(y), F.col("rank").alias(f"{y}_rank"),
                                F.col("there").alias(x + y), F.col("back").alias(y + x))
 
-    found = side("a", "b").join(side("a", "c"), "a").join(side("b", "c"), ["b", "c"])
+    found = _wedges(side("a", "b"), side("a", "c")).join(side("b", "c").drop("c_rank"), ["b", "c"])
     readings = F.array(*[
         F.struct(F.col(u).alias("u"), F.col(v).alias("v"), F.col(s).alias("s"),
                  (F.col(u + v) & F.col(u + s) & F.col(v + s)).alias("holds"))
