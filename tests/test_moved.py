@@ -83,3 +83,43 @@ def test_counts_carry_short_keys_for_long_ids(spark):
     for count in (lambda g: motifs.path_counts(g, paths, where=[F.col("id") == g.vertices["id"], None, None]),
                   lambda g: motifs.star_counts(g, {"a": "type"}, [{"b": "type"}], [{"c": "type"}], in_where=F.col("type") == "V")):
         assert sorted(count(texts).collect()) == sorted(count(plain).collect())
+
+
+def test_matches_carry_source_keys_and_show_ids(spark, tmp_path):
+    graph = fx.forum(spark, source(spark, tmp_path))
+    plain = Graph(graph.vertices, graph.edges)
+    pattern, where = "(a)-[e]->(b); (b)-[e2]->(c); (b)-[l]->(b)", {"a": F.col("type") == "User", "b": F.col("id") != "", "e2": F.col("relationship") == "Answers"}
+    for steps in (pattern, pattern.rsplit(";", 1)[0]):
+        for columns in (None, [], ["type", "source_id"]):
+            apart, whole = (motifs.find(g, steps, where=where, vertex_columns=columns) for g in (graph, plain))
+            assert apart.schema == whole.schema and sorted(map(repr, apart.collect())) == sorted(map(repr, whole.collect()))
+    found = motifs.find(graph, "(a)-[e]->(b); (b)-[e2]->(c)", where={"a": F.col("type") == "User"}, vertex_columns=["type"])
+    assert found.count() > 0
+    # ids are hashed once at the end, above every join
+    lines = [x for x in found._jdf.queryExecution().optimizedPlan().toString().split("\n")]
+    first_join = next(i for i, x in enumerate(lines) if "Join" in x)
+    assert any("sha2" in x for x in lines[:first_join]) and not any("sha2" in x for x in lines[first_join:])
+    degrees = structure.join_type_degree(graph).vertices
+    want = structure.join_type_degree(plain).vertices
+    assert degrees.columns == want.columns and sorted(map(repr, degrees.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_a_repeated_vertex_repeats_its_matches(spark):
+    graph = Graph(spark.createDataFrame([(1, "x"), (1, "x"), (2, "y")], "id bigint, type string"),
+                  spark.createDataFrame([(1, 2, "R"), (1, 1, "R"), (1, 3, "R")], "src bigint, dst bigint, relationship string"))
+    for where in (None, {"a": F.col("type") == "x"}):
+        found = motifs.find(graph, "(a)-[e]->(b)", where=where, vertex_columns=["type"])
+        assert sorted((r["a"]["id"], r["b"]["id"]) for r in found.collect()) == [(1, 1)] * 4 + [(1, 2)] * 2
+    assert motifs.find(graph, "(a)-[e]->(a)", where={"a": F.col("type") == "x"}, vertex_columns=["type"]).count() == 2
+
+
+def test_cycles_are_listed_among_edges_that_go_on(spark, make):
+    # a cycle of four and a vertex with a hundred dead ends each way
+    pairs = [(0, 1), (1, 2), (2, 3), (3, 0), (4, 4)] + [(0, 100 + i) for i in range(100)] + [(200 + i, 0) for i in range(100)]
+    graph = make(pairs)
+    four = "(a)-[e]->(b); (b)-[e2]->(c); (c)-[e3]->(d); (d)-[e4]->(a)"
+    for where in (None, {"e": F.col("src") >= 0, "a": F.col("id") < 50}):
+        found = motifs.find(graph, four, where=where, vertex_columns=["type"])
+        assert sorted(tuple(r[n]["id"] for n in "abcd") for r in found.collect()) == [(0, 1, 2, 3), (1, 2, 3, 0), (2, 3, 0, 1), (3, 0, 1, 2), (4, 4, 4, 4)]
+        kept = spark.read.parquet(*[f for f in found.inputFiles() if "/cut-" in f])
+        assert kept.count() == 5
