@@ -40,16 +40,19 @@ def join_degree(graph: Graph, keep_isolates: bool = True) -> Graph:
 
 def join_type_degree(graph: Graph) -> Graph:
     """Add a map relationship -> out-degree to the vertices; edges without a source are left out."""
+    vertices, edges, named = graph.short_ids()
     counts = (
-        graph.edges.filter(F.col("src").isNotNull())
-        .groupBy(F.col("src").alias("id"), "relationship")
+        edges.filter(F.col("_src").isNotNull())
+        .groupBy(F.col("_src").alias("_id"), "relationship")
         .agg(F.count("*").alias("n"))
     )
     # counted first, so the list per vertex holds one entry per relationship
-    maps = counts.groupBy("id").agg(
+    maps = counts.groupBy("_id").agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("relationship", "n")))).alias("type_degree")
     )
-    return Graph(graph.vertices.join(maps, "id", "left"), graph.edges)
+    # the id is made again after the join
+    found = vertices.drop("id").join(maps, "_id", "left").withColumn("id", named(F.col("_id")))
+    return Graph(found.select(*graph.vertices.columns, "type_degree"), graph.edges)
 
 
 def graph_size(graph: Graph) -> DataFrame:
