@@ -678,10 +678,10 @@ def union_edges(spark, sf):
   (SELECT count(*) FROM edges WHERE src NOT IN (SELECT id FROM vertices) OR dst NOT IN (SELECT id FROM vertices)) AS dangling""")
 def build_graph(spark, sf):
     """Sizes, and that no edge dangles."""
-    graph = Graph(fx.forum_vertices(spark, sf), fx.forum_edges(spark, sf))
-    ids = graph.vertices.select("id")
-    ends = edge_ends(graph.edges)
-    return graph.vertices.agg(F.count("*").alias("n_vertices")).join(F.broadcast(graph.edges.agg(F.count("*").alias("n_edges")))).join(
+    vertices, edges, _ = fx.forum(spark, sf).short_ids()
+    ends = edge_ends(edges.select(F.col("_src").alias("src"), F.col("_dst").alias("dst")))
+    ids = vertices.select(F.col("_id").alias("id"))
+    return vertices.agg(F.count("*").alias("n_vertices")).join(F.broadcast(edges.agg(F.count("*").alias("n_edges")))).join(
         F.broadcast(ends.join(ids, "id", "left_anti").agg(F.count("*").alias("dangling"))))
 
 
