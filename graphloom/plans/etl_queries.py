@@ -55,8 +55,8 @@ def scan_parquet_typed(spark, sf):
 
 def _saved_forum(spark, sf):
     path = shared_path(spark, "forum")
-    graph = fx.forum(spark, sf)
-    Graph(graph.vertices.select("id", "type", "source_id", "vote_type"), graph.edges).save(path)
+    # each table is read once, so it is saved as it is made and not written before
+    Graph(fx.forum_vertices(spark, sf).select("id", "type", "source_id", "vote_type"), fx.forum_edges(spark, sf)).save(path)
     return Graph.load(spark, path)
 
 

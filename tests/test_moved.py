@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from graphloom.functions.hashing import stable_id
 from graphloom.graph import Graph
 from graphloom.operators import etl, motifs, structure
+from graphloom.plans import etl_queries
 from graphloom.plans import fixtures as fx
 
 
@@ -123,3 +124,12 @@ def test_cycles_are_listed_among_edges_that_go_on(spark, make):
         assert sorted(tuple(r[n]["id"] for n in "abcd") for r in found.collect()) == [(0, 1, 2, 3), (1, 2, 3, 0), (2, 3, 0, 1), (3, 0, 1, 2), (4, 4, 4, 4)]
         kept = spark.read.parquet(*[f for f in found.inputFiles() if "/cut-" in f])
         assert kept.count() == 5
+
+
+def test_a_saved_forum_is_written_once(spark, tmp_path):
+    sf = source(spark, tmp_path)
+    graph = fx.forum(spark, sf)
+    saved = etl_queries._saved_forum(spark, sf)
+    assert not any("edges" in made.__dict__ or "vertices" in made.__dict__ for key, made in fx._built.items() if key[1] == sf and key[2] == "forum")
+    for name, columns in (("vertices", ["id", "type", "source_id", "vote_type"]), ("edges", ["src", "dst", "relationship"])):
+        assert sorted(map(repr, getattr(saved, name).select(*columns).collect())) == sorted(map(repr, getattr(graph, name).select(*columns).collect()))
