@@ -79,3 +79,15 @@ def test_louvain_leaves_no_community_to_merge(make):
 def test_graphs_of_one_component(spark):
     chain = Graph(spark.range(300).select("id"), spark.range(299).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst")))
     assert {r["component"] for r in components.connected_components(chain).collect()} == {0}
+
+
+def test_pair_rows_are_written_before_the_fit(spark, monkeypatch):
+    from graphloom.operators import models
+    from graphloom.plans import vector_queries
+
+    seen = []
+    real = models.classify
+    monkeypatch.setattr(models, "classify", lambda train, *rest, **more: seen.append(train) or real(train, *rest, **more))
+    pairs = spark.createDataFrame([(i, i + 1, i % 2, [float(i % 2), float(i % 3)]) for i in range(60)], "src long, dst long, label int, vector array<double>")
+    assert vector_queries._pair_scored(models.as_features(pairs), "forest").first()["accuracy"] == 1.0
+    assert seen[0].inputFiles()
