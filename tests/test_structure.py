@@ -224,3 +224,13 @@ def test_sampled_paths_stay_within_the_error(make):
     assert max(abs(got[v] - exact[v] / (n * (n - 1))) for v in exact) <= 0.04
     assert all(got[v] == 0 for v in exact if exact[v] == 0)
     assert set(as_dict(centrality.betweenness_by_paths(make([(1, 2)])), "betweenness").values()) == {0.0}
+
+
+def test_strong_components_broadcast_nothing_in_their_rounds(make, monkeypatch):
+    graph = make([(1, 2), (2, 1), (2, 3)])
+    kept, plans = components.cut, []
+    monkeypatch.setattr(components, "cut", lambda df: plans.append((df.columns, df._jdf.queryExecution().executedPlan().toString())) or kept(df))
+    found = as_dict(components.strongly_connected_components(graph), "scc")
+    assert found == {1: 1, 2: 1, 3: 3}
+    # numbering sends one row for each partition, and only once
+    assert not [columns for columns, plan in plans if "Broadcast" in plan and columns != ["id", "rank"]]
