@@ -1,6 +1,7 @@
 """What is written and shuffled: keyed tables for the typed graph, every wedge once."""
 
 import datetime
+import time
 
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from graphloom.graph import Graph
 from graphloom.operators import etl, motifs, structure
 from graphloom.plans import etl_queries
 from graphloom.plans import fixtures as fx
+from graphloom.session import cut, tune
 
 
 def source(spark, folder):
@@ -133,3 +135,47 @@ def test_a_saved_forum_is_written_once(spark, tmp_path):
     assert not any("edges" in made.__dict__ or "vertices" in made.__dict__ for key, made in fx._built.items() if key[1] == sf and key[2] == "forum")
     for name, columns in (("vertices", ["id", "type", "source_id", "vote_type"]), ("edges", ["src", "dst", "relationship"])):
         assert sorted(map(repr, getattr(saved, name).select(*columns).collect())) == sorted(map(repr, getattr(graph, name).select(*columns).collect()))
+
+
+def test_counts_read_only_kinds_that_can_match(spark, tmp_path):
+    graph = fx.forum(spark, source(spark, tmp_path))
+    plain = Graph(graph.vertices, graph.edges)
+    usable = motifs.passable(graph, graph.short_ids()[1], motifs.clauses("(a)-[e]->(b); (b)-[e2]->(c); (c)-[e3]->(d)"))
+    assert usable.kinds["b"] == usable.kinds["c"] == usable.kinds["d"] == {"Post"} and "Vote" in usable.kinds["a"]
+    assert usable.of["e"].count() > usable.of["e2"].count() == graph.edges.filter("relationship IN ('Answers', 'Links')").join(
+        graph.vertices.filter("type = 'Post'"), F.col("id") == F.col("src"), "left_semi").count()
+    assert usable.held(graph.short_ids()[0], "b").filter("type <> 'Post'").isEmpty()
+    paths, star = [{"a": "type", "k": "vote_type"}, {"b": "type"}, {"c": "type"}], [{"c": "type"}, {"d": "type"}]
+    for count in (lambda g: motifs.path_counts(g, paths[:2]), lambda g: motifs.path_counts(g, paths, where=[F.col("type") == "Vote", None, None]),
+                  lambda g: motifs.star_counts(g, {"a": "type"}, [{"b": "type"}], star), lambda g: motifs.star_counts(g, {"a": "type"}, [], star, in_where=F.col("type") == "Vote"),
+                  lambda g: motifs.triangle_counts(g, "(a)-[e]->(b); (a)-[e2]->(c); (c)-[e3]->(b)"),
+                  lambda g: motifs.triangle_matches(g, "(a)-[e]->(b); (a)-[e2]->(c); (c)-[e3]->(b)"),
+                  motifs.four_cycle_counts, lambda g: motifs.multi_paths(g, 1)):
+        assert sorted(map(repr, count(graph).collect())) == sorted(map(repr, count(plain).collect()))
+    assert motifs.multi_paths(graph, 1).count() > 0
+
+
+def test_leaves_stand_in_no_ranked_edge(spark, make):
+    pairs = [(0, 1), (0, 2), (2, 1)] + [(0, 100 + i) for i in range(20)] + [(200 + i, 1) for i in range(20)]
+    steps = motifs.clauses("(a)-[e]->(b); (a)-[e2]->(c); (c)-[e3]->(b)")
+    edges, loops = motifs.ranked_edges(make(pairs), "relationship", "type", steps)
+    assert edges.count() == 3 and not loops
+    # round a self-loop an edge of a leaf is a match
+    edges, loops = motifs.ranked_edges(make([*pairs, (1, 1)]), "relationship", "type", steps)
+    assert edges.count() == 44 and loops
+
+
+def test_shuffle_files_go_when_an_action_ends(spark):
+    own = tune(spark.newSession())
+    held = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    before = held()
+    table = cut(own.range(20_000).groupBy((F.col("id") % 999).alias("k")).count())
+    for _ in range(40):
+        if held() <= before:
+            break
+        time.sleep(0.25)
+    assert held() <= before and table.count() == 999
+    # a plan whose files are gone makes them anew
+    again = own.range(20_000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert sorted(again.collect()) == sorted(again.collect())
