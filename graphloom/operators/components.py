@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from graphloom.functions.hashing import order_key
 from graphloom.functions.ordering import dense_index, next_value, running_totals
-from graphloom.graph import Graph, both_ways, edge_ends, undirected_pairs
+from graphloom.graph import Graph, both_ways, edge_ends, endpoint_rows, undirected_pairs
 from graphloom.session import cut, discard
 
 
@@ -27,11 +27,13 @@ def connected_components(graph: Graph) -> DataFrame:
     redirected to the smallest neighbour until every component is a star around
     its smallest id.  That takes few rounds also on long paths.  The smallest
     neighbour is a map-side-combined minimum and meets the links again by a join,
-    so a hub's links are never gathered in one task.
+    so a hub's links are never gathered in one task.  Vertices of one link take no part in the
+    rounds, which carry short ids; a component is named when it is whole.
     """
-    links = cut(undirected_pairs(graph.edges))
+    vertices, edges, named = graph.short_ids()
+    links, hung = _without_leaves(cut(undirected_pairs(edges.select(F.col("_src").alias("src"), F.col("_dst").alias("dst")))))
     last = _signature(links)
-    while True:
+    while last[0]:
         spent = [links]
         links = cut(_small_star(_large_star(links, spent), spent))
         discard(spent)
@@ -39,12 +41,35 @@ def connected_components(graph: Graph) -> DataFrame:
         if now == last:
             break
         last = now
-    found = links.select(F.col("dst").alias("id"), F.col("src").alias("component"))
-    return graph.vertices.select("id").join(found, "id", "left").select(
-        "id", F.coalesce("component", "id").alias("component")
+    found = links.select(F.col("dst").alias("id"), F.col("src").alias("root"))
+    # a leaf belongs where the vertex it hangs on does
+    hangs = hung.join(found.select(F.col("id").alias("on"), "root"), "on", "left").select("id", F.coalesce("root", "on").alias("root"))
+    members = cut(found.unionByName(hangs))
+    names = cut(members.groupBy("root").agg(F.min(named(F.col("id"))).alias("least")).select(
+        "root", F.least("least", named(F.col("root"))).alias("component")))
+    known = members.join(names, "root").select("id", "component").unionByName(names.select(F.col("root").alias("id"), "component"))
+    return vertices.select(F.col("_id")).join(known.withColumnRenamed("id", "_id"), "_id", "left").select(
+        named(F.col("_id")).alias("id"), F.coalesce("component", named(F.col("_id"))).alias("component")
     )
 
 
+def _without_leaves(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links between vertices of two or more, and (id, on): every vertex of one link and the one it hangs on.
+
+    Of two vertices linked to nothing else the larger hangs on the smaller.
+    """
+    # written, so that the joins can split the links of a hub
+    single = cut(endpoint_rows(links).groupBy("id").agg(F.count("*").alias("n")).filter("n = 1").select("id", F.lit(True).alias("leaf")))
+    marked = cut(
+        links.join(single.select(F.col("id").alias("src"), F.col("leaf").alias("s")), "src", "left")
+        .join(single.select(F.col("id").alias("dst"), F.col("leaf").alias("d")), "dst", "left"))
+    discard([links, single])
+    upper = F.col("d").isNotNull()
+    hung = marked.filter("s IS NOT NULL OR d IS NOT NULL").select(
+        F.when(upper, F.col("dst")).otherwise(F.col("src")).alias("id"), F.when(upper, F.col("src")).otherwise(F.col("dst")).alias("on"))
+    return cut(marked.filter("s IS NULL AND d IS NULL").select("src", "dst")), hung
+
+
 def _large_star(links: DataFrame, spent: list[DataFrame]) -> DataFrame:
     """Point every larger neighbour of u at the smallest of u and its neighbours.
 

@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from graphloom.graph import Graph
+from graphloom.graph import Graph, undirected_pairs
 from graphloom.operators import centrality, community, components, motifs, structure
 from graphloom.session import cut
 
@@ -234,3 +234,12 @@ def test_strong_components_broadcast_nothing_in_their_rounds(make, monkeypatch):
     assert found == {1: 1, 2: 1, 3: 3}
     # numbering sends one row for each partition, and only once
     assert not [columns for columns, plan in plans if "Broadcast" in plan and columns != ["id", "rank"]]
+
+
+def test_components_with_leaves_are_named_by_the_smallest_id(make, spark):
+    # a pair, a star whose centre is larger than its leaves, one whose smallest id hangs on a cycle, a lone vertex
+    pairs = [(8, 7), (20, 11), (20, 12), (30, 31), (31, 32), (32, 30), (32, 3), (40, 40)]
+    found = as_dict(components.connected_components(make(pairs, [50])), "component")
+    assert found == {7: 7, 8: 7, 11: 11, 12: 11, 20: 11, 3: 3, 30: 3, 31: 3, 32: 3, 40: 40, 50: 50}
+    links, hung = components._without_leaves(cut(undirected_pairs(make(pairs).edges)))
+    assert links.count() == 3 and {tuple(r) for r in hung.collect()} == {(8, 7), (11, 20), (12, 20), (3, 32)}
