@@ -91,3 +91,22 @@ def test_pair_rows_are_written_before_the_fit(spark, monkeypatch):
     pairs = spark.createDataFrame([(i, i + 1, i % 2, [float(i % 2), float(i % 3)]) for i in range(60)], "src long, dst long, label int, vector array<double>")
     assert vector_queries._pair_scored(models.as_features(pairs), "forest").first()["accuracy"] == 1.0
     assert seen[0].inputFiles()
+
+
+def test_a_walk_carries_its_last_steps_only(make, monkeypatch):
+    from graphloom.operators import sampling
+
+    written = []
+    real = sampling.Layers.add
+    monkeypatch.setattr(sampling.Layers, "add", lambda self, level, rows: written.append(real(self, level, rows)) or written[-1])
+    graph = make([(0, 1), (1, 2), (2, 3), (3, 0), (1, 3)], [9])
+    walks = {}
+    for length in (1, 2, 4, 7, 9):
+        rows = sampling.random_walks(graph, length, 2, backtrack=length % 2 == 0, steps_a_table=3).collect()
+        assert len(rows) == len({(r["walk"], r["step"]) for r in rows}) == 8 * length + 2
+        # a longer walk begins as the shorter one did, where the law is the same
+        mine = {(r["walk"], r["step"]): r["node"] for r in rows}
+        for key, node in walks.get(length % 2, {}).items():
+            assert mine[key] == node
+        walks[length % 2] = mine
+    assert max(t.agg(F.max(F.size("path"))).first()[0] for t in written) == 4
