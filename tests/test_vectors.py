@@ -98,3 +98,11 @@ def test_descent_of_few_points(spark):
     few = neighbors.nearest_descent(spark.createDataFrame([(1, [0.0]), (2, [1.0]), (3, [5.0])], schema), 10)
     assert {(r.id, r.neighbour): r.distance for r in few.collect()} == {
         (1, 2): 1.0, (2, 1): 1.0, (1, 3): 5.0, (3, 1): 5.0, (2, 3): 4.0, (3, 2): 4.0}
+
+
+def test_single_precision_vectors_travel_as_they_are(spark):
+    points = spark.createDataFrame([(i, [float(i % 7) / 3, float(i * i % 11)]) for i in range(60)], "id bigint, vector array<float>")
+    wide = points.withColumn("vector", F.col("vector").cast("array<double>"))
+    assert neighbors._numbers(points).schema["vector"].dataType.simpleString() == "array<float>"
+    for found in (lambda p: neighbors.radius_neighbors(p, 1.5), lambda p: neighbors.lsh_pairs(p, 1.5, 2.0), lambda p: neighbors.nearest_descent(p, 4)):
+        assert sorted(found(points).collect()) == sorted(found(wide).collect())
